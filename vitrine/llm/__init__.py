@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("source_mix",)
+_MODULES = ("packed_ids", "curve_packing", "source_mix")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
