@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("arc_warc", "packed_ids", "curve_packing", "source_mix")
+_MODULES = ("arc_warc", "packed_ids", "curve_packing", "source_mix", "ppm_language")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
