@@ -23,8 +23,9 @@ _BYTE_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_
 #: Byte-level vocabularies write printable bytes as themselves and the others, in order, from U+0100.
 _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_BLANK = chr(_BYTE_LETTERS[0x20])
 #: Distinct chunks that one worker remembers; later ones are encoded anew each time.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_000_000
 
 
 class CachedEncoder:
@@ -48,11 +49,13 @@ class CachedEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def _learn(self, chunk: str) -> bytes:
-        tokenize = self.tokenizer.model.tokenize
         ids: list[int] = []
         for piece in self.pieces(chunk):
-            mapped = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids += [t.id for t in tokenize(mapped)]
+            if piece.isascii() and piece.isprintable():
+                mapped = piece.replace(" ", _BLANK)
+            else:
+                mapped = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids += [t.id for t in self.tokenizer.model.tokenize(mapped)]
         return array("H", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm.cached_encoder import encoder
-from vitrine.llm.common import binary_views, mix64, slices, text_bytes
+from vitrine.llm.common import binary_views, slices, text_bytes
 from vitrine.sources.tables import table
 
 SEQUENCE, END_ID = 1024, 0
-DIMENSIONS, CURVE_BITS, FEATURES = 3, 10, 1 << 14
+DIMENSIONS, CURVE_BITS, FEATURE_BITS = 3, 10, 14
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -52,31 +52,31 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def _directions() -> np.ndarray:
-    """Random projection of FEATURES hashed words to DIMENSIONS."""
-    return np.random.default_rng(7).standard_normal((FEATURES, DIMENSIONS)).astype(np.float32)
+#: Random projection of hashed words: one array of directions per dimension.
+_DIRECTIONS = np.random.default_rng(7).standard_normal((DIMENSIONS, 1 << FEATURE_BITS))
 
 
 def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Hilbert key of each text: every word's first six bytes are hashed to a feature, the features'
     random directions averaged over the text, and the mean put on a grid around zero."""
-    begin, end = offsets[:-1], offsets[1:]
+    begin, end = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
     n = len(begin)
-    body = data[offsets[0] : offsets[-1]]
-    begin, end = begin - offsets[0], end - offsets[0]
-    breaks = np.flatnonzero(body <= 32) + 1
-    starts = np.unique(np.concatenate([begin[begin < end], breaks]))
-    starts = starts[starts < len(body)]
-    row = np.searchsorted(end, starts, side="right")
-    padded = np.concatenate([body, np.zeros(8, np.uint8)])
-    word = np.zeros(len(starts), np.uint64)
-    for k in range(6):
-        inside = starts + k < end[row]
-        word |= np.where(inside, padded[starts + k], 0).astype(np.uint64) << np.uint64(8 * k)
-    feature = (mix64(word) % np.uint64(FEATURES)).astype(np.int64)
-    table_ = _directions()
-    count = np.bincount(row, minlength=n)
-    sums = np.stack([np.bincount(row, weights=table_[feature, d], minlength=n) for d in range(DIMENSIONS)], axis=1)
+    body = np.concatenate([data[offsets[0] : offsets[-1]], np.zeros(8, np.uint8)])
+    first = np.zeros(len(body), bool)
+    first[1:] = body[:-1] <= 32
+    first[begin] = True
+    starts = np.flatnonzero(first[: end[-1]])
+    bounds = np.searchsorted(starts, np.append(begin, end[-1]))
+    count = np.diff(bounds)
+    word = np.ndarray(len(body) - 7, "<u8", body, strides=(1,))[starts]
+    room = np.minimum(np.repeat(end, count) - starts, 6).astype(np.uint64)  # never beyond the text
+    word &= (np.uint64(1) << (room * np.uint64(8))) - np.uint64(1)
+    feature = ((word * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+    sums = np.zeros((n, DIMENSIONS))
+    some = count > 0
+    for d, direction in enumerate(_DIRECTIONS):
+        if some.any():
+            sums[some, d] = np.add.reduceat(direction[feature], bounds[:-1][some])
     mean = sums / np.maximum(count, 1)[:, None]
     side = 1 << CURVE_BITS
     cells = np.clip(np.floor((mean * 1.5 + 0.5) * side), 0, side - 1)
