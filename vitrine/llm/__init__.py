@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("arc_warc", "lattice_dedup", "packed_ids", "html_blocks", "curve_packing", "source_mix", "ngram_join", "ppm_language", "suffix_dedup")
+_MODULES = ("arc_warc", "lattice_dedup", "packed_ids", "html_blocks", "curve_packing", "source_mix", "ngram_join", "ppm_language", "suffix_dedup", "posting_ann")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
