@@ -75,7 +75,9 @@ def neighbour_graph(centroids: np.ndarray, degree: int) -> np.ndarray:
     distance = ((centroids[:, None] - centroids[None]) ** 2).sum(axis=2)
     np.fill_diagonal(distance, np.inf)
     near = np.argsort(distance, axis=1)[:, : max(1, min(degree - 1, n - 1))]
-    return np.concatenate([near, ((np.arange(n) + 1) % n)[:, None]], axis=1)
+    onward = (np.arange(n) + 1) % n
+    onward = np.where((near == onward[:, None]).any(axis=1), np.arange(n), onward)  # itself where that is near already
+    return np.concatenate([near, onward[:, None]], axis=1)
 
 
 def search_graph(index: Index, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
