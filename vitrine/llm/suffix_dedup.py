@@ -12,13 +12,15 @@ occur again.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.llm.common import binary_views, mix64, slices, text_bytes, write_table
 from vitrine.sources.tables import table
@@ -235,18 +237,20 @@ def _runs(starts: np.ndarray) -> list[int]:
 # --- operator --------------------------------------------------------------------------------------
 
 
-def _keyed(docs: DataFrame, squeezed: bool = False) -> DataFrame:
-    """doc_id, th (32 bits of a hash of the text; tells rows of equal doc_id apart) and the text."""
+def _keyed(docs: DataFrame, squeezed: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, th (32 bits of a hash of the text; tells rows of equal doc_id apart), the text and
+    the carried columns."""
     th = F.shiftrightunsigned(F.xxhash64(text_bytes()), 32).alias("th")
-    found = docs.select("doc_id", th, text_bytes().alias("text"))
-    return found.mapInArrow(_squeeze, "doc_id long, th long, text binary") if squeezed else found
+    found = docs.select("doc_id", th, text_bytes().alias("text"), *(F.col(c) for c in carry))
+    return found.mapInArrow(_squeeze, found.schema) if squeezed else found
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         small = [press.compress(t) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(small, pa.binary())], names=batch.schema.names)
+        columns = [*batch.columns[:2], pa.array(small, pa.binary()), *batch.columns[3:]]
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
 
 def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -404,35 +408,49 @@ def merge(ranges: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """doc_id, th, spans (removed runs of bytes: array of struct start, end), kept (remaining bytes), n_bytes.
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, carry: Sequence[str] = ()
+) -> DataFrame:
+    """doc_id, spans (removed runs of bytes: array of struct start, end), kept (remaining bytes),
+    n_bytes, and the columns named by ``carry`` as they are.
 
     Null text is empty and, like any text below ``length`` bytes, loses nothing. A string that
     overlaps itself counts, as does a repeated row, which loses every string it has. Rows of equal
     or null doc_id are told apart by their text. Very long texts are scanned whole; an empty table
     gives no rows; other columns are ignored.
     """
-    joined = _same_row(_keyed(docs, squeezed=True), repeated_spans(docs, length, gram, hot), "left")
-    schema = "doc_id long, th long, spans array<struct<start:long,end:long>>, kept binary, n_bytes long"
+    spans_ = repeated_spans(docs, length, gram, hot)
+    joined = _same_row(_keyed(docs, squeezed=True, carry=carry), spans_, "left")
+    joined = joined.select("doc_id", "text", "ranges", *carry)
+    schema = T.StructType.fromDDL("doc_id long, spans array<struct<start:long,end:long>>, kept binary, n_bytes long")
+    schema = T.StructType([*schema.fields, *(joined.schema[c] for c in carry)])
     pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
             spans, kept, sizes = [], [], []
-            for text, ranges in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 text = press.decompress(text)
                 gone = merge(ranges)
                 edges = [0, *[x for pair in gone for x in pair], len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 spans.append([{"start": a, "end": b} for a, b in gone])
                 sizes.append(len(text))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(spans, pairs), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64())],
-                names=["doc_id", "th", "spans", "kept", "n_bytes"],
-            )
+            made = [pa.array(spans, pairs), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, *batch.columns[3:]], names=schema.names)
+
+    return joined.mapInArrow(run, schema)
+
+
+def whole_characters(kept: Column) -> Column:
+    """Remaining bytes as text; a character that a cut went through is dropped."""
+
+    @F.pandas_udf("string")
+    def decode(column: pd.Series) -> pd.Series:
+        return column.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
 
-    return joined.select("doc_id", "th", "text", "ranges").mapInArrow(run, schema)
+    return decode(kept)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
