@@ -2,33 +2,5 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from vitrine.sources.tables import table
-
-
-def summary_by_sector(spark, sf_dir):
-    """Suppliers and their contract totals by region (AG-01)."""
-    sup, nat, reg, li = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region", "lineitem"))
-    money = li.groupBy("l_suppkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total"))
-    joined = (
-        sup.join(money, F.col("s_suppkey") == F.col("l_suppkey"), "left")
-        .join(nat, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(reg, F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    return joined.groupBy(F.col("r_name").alias("sector")).agg(
-        F.count("*").alias("companies"),
-        F.sum("total").cast("double").alias("contracts"),
-        F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"),
-    )
-
-
-QUERIES = {"summary_by_sector": summary_by_sector}
-ORACLE_SQL = {
-    "summary_by_sector": """
-        SELECT r_name AS sector, count(*) AS companies, CAST(sum(total) AS DOUBLE) AS contracts,
-               CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
-        FROM supplier LEFT JOIN (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem GROUP BY 1) m
-             ON s_suppkey = l_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-        GROUP BY r_name"""
-}
+from vitrine.plans import graphs, publishing, relational, resolution, rules, scalars  # noqa: F401
+from vitrine.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401
