@@ -252,18 +252,18 @@ def supplier_top3_authorities(t):
     return top.select("supplier", "authority", as_double(F.col("total")).alias("total"), "nr", "place")
 
 
-@query(f"""WITH {CONTRACT}, last AS (SELECT notice, lot % 2 AS p, max_by(amount, lot) AS amount FROM contract GROUP BY 1, 2)
+@query(f"""WITH {CONTRACT}, last AS (SELECT notice, lot % 2 AS p, arg_max(amount, (lot, amount)) AS amount FROM contract GROUP BY 1, 2)
     SELECT CAST((SELECT sum(amount) FROM contract) AS DOUBLE) AS gross, CAST((SELECT sum(amount) FROM last) AS DOUBLE) AS real""")
 def gross_vs_real_total(t):
     """Sum of all bidder lines against the last value per announcement and lot (AG-13)."""
     rows = contracts(t)
-    last = rows.groupBy("notice", F.col("lot") % 2).agg(F.max_by("amount", "lot").alias("last"), F.sum("amount").alias("all"))
+    last = rows.groupBy("notice", F.col("lot") % 2).agg(F.max_by("amount", F.struct("lot", "amount")).alias("last"), F.sum("amount").alias("all"))
     return last.agg(as_double(F.sum("all")).alias("gross"), as_double(F.sum("last")).alias("real"))
 
 
 @query(f"""WITH {CONTRACT}, ok AS (SELECT * FROM contract WHERE amount > 0 AND amount <= 90000)
     SELECT supplier, CAST(sum(amount) AS DOUBLE) AS total, count(*) AS nr,
-      array_to_string(list_transform(list_sort(list(DISTINCT year(day))), y -> CAST(y AS VARCHAR)), ',') AS ani
+      array_to_string(list_transform(list_sort(list(DISTINCT year(day))), lambda y: CAST(y AS VARCHAR)), ',') AS ani
     FROM ok GROUP BY supplier ORDER BY total DESC, supplier LIMIT 50000""")
 def direct_purchase_rollup(t):
     """Direct purchases per supplier; amounts outside the bounds do not count at all (AG-14, FLT-06)."""

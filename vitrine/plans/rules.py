@@ -138,7 +138,7 @@ def coverage_report(t):
 
 
 @query("""WITH m AS (SELECT max(CAST(o_orderdate AS DATE)) AS last FROM orders)
-    SELECT o_orderpriority AS comisie, CAST(o_orderdate AS DATE) AS zi, count(*) AS n, array_to_string(list_transform(list_sort(list(DISTINCT o_custkey)), x -> CAST(x AS VARCHAR)), ',') AS plx
+    SELECT o_orderpriority AS comisie, CAST(o_orderdate AS DATE) AS zi, count(*) AS n, array_to_string(list_transform(list_sort(list(DISTINCT o_custkey)), lambda x: CAST(x AS VARCHAR)), ',') AS plx
     FROM orders, m WHERE CAST(o_orderdate AS DATE) BETWEEN last - 60 AND last GROUP BY 1, 2""")
 def recent_activity(t):
     """Sessions of the last sixty days, those of one committee and day merged (RL-17, FLT-07, AG-30, DT-10)."""

@@ -10,7 +10,7 @@ from vitrine.plans.registry import query
 
 _TITLES = "(" + ", ".join(f"'{x}'" for x in TITLES) + ")"
 _STOP = "[" + ", ".join(f"'{x}'" for x in ORGANISATION_STOP_WORDS) + "]"
-_TOKENS = f"list_filter(string_split_regex(lower(strip_accents({{0}})), '[^a-z]+'), x -> len(x) >= 2 AND x NOT IN {_TITLES})"
+_TOKENS = f"list_filter(string_split_regex(lower(strip_accents({{0}})), '[^a-z]+'), lambda x: len(x) >= 2 AND x NOT IN {_TITLES})"
 _ASCII = "regexp_replace(lower(strip_accents({0})), '[^\\x00-\\x7F]', '', 'g')"
 _PARTY = "CASE " + " ".join(
     f"WHEN trim(n) = '{c.lower()}' OR " + " OR ".join(f"contains(n, '{p}')" for p in ps) + f" THEN '{c}'" for c, ps in PARTIES
@@ -30,7 +30,7 @@ def accent_fold(t):
 
 
 @query(f"""SELECT doc_id, len(k) AS n, md5(array_to_string(k, ' ')) AS tokens FROM (SELECT doc_id,
-    list_sort(list_filter(list_distinct(regexp_extract_all({_ASCII.format('text')}, '[a-z]{{4,}}')), x -> NOT list_contains({_STOP}, x))) AS k FROM documents)""")
+    list_sort(list_filter(list_distinct(regexp_extract_all({_ASCII.format('text')}, '[a-z]{{4,}}')), lambda x: NOT list_contains({_STOP}, x))) AS k FROM documents)""")
 def org_tokens(t):
     """Telling words of whole texts (ST-13, ST-14)."""
     k = names.org_tokens("text")
@@ -107,7 +107,7 @@ def law_references(t):
 @query("""SELECT doc_id, array_to_string(regexp_extract_all(text, '\\b[A-Z][A-Z0-9]{3,}\\b'), ' ') AS capitals FROM documents""")
 def caps_names(t):
     """Capitalised words of whole texts in order (ST-23)."""
-    found = F.regexp_extract_all("text", F.lit(r"\b[A-Z][A-Z0-9]{3,}\b"), F.lit(0))
+    found = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9_])[A-Z][A-Z0-9]{3,}(?![A-Za-z0-9_])"), F.lit(0))
     return t("documents").select("doc_id", F.array_join(found, " ").alias("capitals"))
 
 
