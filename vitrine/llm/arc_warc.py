@@ -248,10 +248,15 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
 
 def op1_arc_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages through ARC into WARC archives and back."""
+    """All pages through ARC into WARC archives and back: what the archives say of each payload."""
     manifest = write_archives(table(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
-    return read_archives(manifest)
+    return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 QUERIES = {"op1_arc_warc": op1_arc_warc}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op1_arc_warc": f"""WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= {MIN_REVISIT} GROUP BY 1)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN page_id <> first THEN first END AS refers_to FROM p LEFT JOIN f USING (payload_digest)"""
+}

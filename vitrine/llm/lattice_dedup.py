@@ -318,3 +318,12 @@ def op2_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_lattice_dedup": op2_lattice_dedup}
+ORACLE_SQL = {
+    "op2_lattice_dedup": f"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= {LEAST}),
+    reach(x, y) AS (SELECT a, b FROM link UNION SELECT x, b FROM reach JOIN link ON y = a),
+    c AS (SELECT x, min(y) AS least FROM reach GROUP BY 1), n AS (SELECT a, count(*) AS n FROM link GROUP BY 1)
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least, vec_id) AS component_id, vec_id = coalesce(least, vec_id) AS kept
+      FROM embeddings LEFT JOIN c ON vec_id = x LEFT JOIN n ON vec_id = a"""
+}

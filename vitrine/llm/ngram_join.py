@@ -327,3 +327,15 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_ngram_join": op7_ngram_join}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLE_SQL = {
+    "op7_ngram_join": f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WORDS} THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(generate_series(1, len(w) - {WORDS - 1}), lambda i: array_to_string(w[i:i + {WORDS - 1}], ' '))) END AS s FROM w),
+    g AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+    both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    link AS (SELECT a, b FROM both_ WHERE {LEAST[1]} * k >= {LEAST[0]} * (na + nb - k)),
+    reach(x, y) AS (SELECT a, b FROM link UNION SELECT x, b FROM reach JOIN link ON y = a),
+    c AS (SELECT x, min(y) AS least FROM reach GROUP BY 1)
+    SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id FROM s LEFT JOIN c ON doc_id = x"""
+}

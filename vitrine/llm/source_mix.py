@@ -91,7 +91,8 @@ def mix(
     ranked = ranked.join(base, on).drop("s", "p")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    offset = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed} "), key)), 1, 10)
+    offset = F.conv(digits, 16, 10).cast("long") / F.lit(float(1 << 40))
     rank = F.col("base") + F.col("local")
     copies = F.floor(offset + rate * rank) - F.floor(offset + rate * (rank - 1))
     return ranked.select(
@@ -106,3 +107,17 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op6_source_mix": op6_source_mix}
+ORACLE_SQL = {
+    "op6_source_mix": f"""WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size FROM documents),
+    w AS (SELECT source, sum(size) AS source_size, {list(WEIGHTS)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1]::DOUBLE AS weight FROM s GROUP BY 1),
+    m AS (SELECT *, {CAP}::DOUBLE * source_size AS most, {SHARE}::DOUBLE * sum(source_size) OVER () AS pool FROM w),
+    o AS (SELECT *, row_number() OVER f AS turn, coalesce(sum(most) OVER b, 0.0) AS spent, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0.0) AS rest FROM m
+      WINDOW f AS (ORDER BY most / weight, source NULLS LAST), b AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    l AS (SELECT arg_min((pool - spent) / rest, turn) FILTER (WHERE (pool - spent) / rest * weight <= most) AS level FROM o),
+    t AS (SELECT source, source_size::BIGINT AS source_size, CASE WHEN level IS NULL THEN most ELSE least(level * weight, most) END AS target,
+      ('0x' || substr(md5('{SEED} ' || coalesce('s' || source, 'n')), 1, 10))::BIGINT / {1 << 40}::DOUBLE AS start FROM o, l),
+    r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, doc_id NULLS LAST) AS rank FROM s),
+    e AS (SELECT doc_id, size, source_size, target, start, rank, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
+      FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target, size * least(floor(start + rate * rank) - floor(start + rate * (rank - 1)), {int(CAP)})::BIGINT AS taken FROM e"""
+}

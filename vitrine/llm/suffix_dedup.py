@@ -466,3 +466,16 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_suffix_dedup": op9_suffix_dedup}
+ORACLE_SQL = {
+    "op9_suffix_dedup": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    p AS (SELECT r, i, md5_number(substr(h, 2 * i + 1, {2 * LENGTH})) AS k FROM d, unnest(range(0, n - {LENGTH - 1})) u(i)),
+    s AS (SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM p) WHERE c > 1),
+    t AS (SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i), 0) AS gap FROM s),
+    u AS (SELECT r, i, count_if(gap > {LENGTH}) OVER (PARTITION BY r ORDER BY i) AS part FROM t),
+    g AS (SELECT r, part, min(i) AS a, max(i) + {LENGTH} AS b FROM u GROUP BY 1, 2),
+    e AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM g),
+    k AS (SELECT r, sum(b - a) AS gone, count(*) AS spans, max(b) AS last, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+      FROM e JOIN d USING (r) GROUP BY 1)
+    SELECT doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans,
+      sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN k USING (r)"""
+}
