@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ from vitrine.sources.tables import table
 LENGTH, GRAM = 200, 32
 #: Multikey depth in bytes before blind tries take over.
 SHALLOW = 64
-#: Distinct surroundings of one gram that one task sorts; larger groups are decided string by string.
+#: Distinct surroundings of one gram that one task sorts; larger groups are narrowed down.
 HOT = 256
 _rng = np.random.default_rng(11)
 _LETTERS = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -342,30 +343,65 @@ def _sorted_groups(segments: DataFrame, length: int, partitions: int) -> DataFra
     return placed.select("kh", "sh", "n", "off", "span", "seg").mapInArrow(run, out)
 
 
-def _string_by_string(segments: DataFrame, length: int) -> DataFrame:
-    """kh, sh, runs of groups too large for one task: every string of theirs is counted by a
-    128-bit key in a partial aggregate, so no group meets in one task."""
+def _offset_keys(blocks: DataFrame, width: int, length: int) -> DataFrame:
+    """Beside each block of string offsets: a key of the bytes that all its strings share (w1, w2)
+    and one of the bytes that they cover together (s1, s2)."""
+    names = [*blocks.columns, "w1", "w2", "s1", "s2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pydict()
-            for kh, sh, n, span, seg in zip(rows["kh"], rows["sh"], rows["n"], rows["span"], rows["seg"], strict=True):
-                data = np.frombuffer(seg, np.uint8)
-                starts = np.arange(span + 1)
-                one = stretch_hash(data, starts, starts + length)
-                two = stretch_hash(data[::-1], len(data) - starts - length, len(data) - starts)
-                fill = np.ones(span + 1, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.astype(np.int64)), pa.array(two.astype(np.int64)), pa.array(fill * kh), pa.array(fill * sh), pa.array(fill * n), pa.array(starts.astype(np.int32))],
-                    names=["h1", "h2", "kh", "sh", "n", "s"],
-                )
-
-    whole = segments.dropDuplicates(["kh", "sh"]).select("kh", "sh", "n", "span", "seg")
-    each = whole.mapInArrow(run, "h1 long, h2 long, kh long, sh long, n long, s int")
-    again = each.groupBy("h1", "h2").agg(F.sum("n").alias("all")).where("all >= 2").select("h1", "h2")
-    hit = each.join(again, ["h1", "h2"]).groupBy("kh", "sh").agg(F.sort_array(F.collect_set("s")).alias("starts"))
-    one_by_one = F.flatten(F.transform("starts", lambda s: F.array(s, s)))
-    return hit.select("kh", "sh", one_by_one.alias("runs"))
+            if not batch.num_rows:
+                continue
+            kh, off, span, k = (np.asarray(batch.column(i)) for i in (0, 2, 3, 4))
+            data, offsets = binary_views(batch.column(5))
+            data, at = data[offsets[0] : offsets[-1]], offsets[:-1] - offsets[0] + off
+            least, most = k * width, k * width + width - 1
+            low, high = np.maximum(least, off - span), np.minimum(most, off)
+            keys = []
+            for start, end, salt in ((at - least, at + length - most, k), (at - high, at + length - low, low * 1024 + high)):
+                mark = mix64(kh.astype(np.uint64)) + salt.astype(np.uint64)
+                keys.append(stretch_hash(data, start, end) + mark)
+                keys.append(stretch_hash(data[::-1], len(data) - end, len(data) - start) + mark)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x.astype(np.int64)) for x in keys)], names=names)
+
+    return blocks.mapInArrow(run, f"{blocks.schema.simpleString()[7:-1]},w1:long,w2:long,s1:long,s2:long".replace(":", " "))
+
+
+def _by_narrowing(segments: DataFrame, length: int) -> DataFrame:
+    """kh, sh, runs of groups too large for one task, by narrowing blocks of string offsets.
+
+    Strings whose anchor lies d bytes after their start are told by d. Stretches that repeat a
+    string with d in a block share the bytes that all strings of the block have; blocks that share
+    them with nobody are done, as are blocks that share everything they cover (all their strings
+    repeat) but one of them, which stands for these in what follows. The rest is cut in four, down to
+    single offsets. Every step is a partial aggregate of a few rows per stretch, so no group meets in
+    one task."""
+    width = 1
+    while 4 * width <= length // 3:
+        width *= 4
+    first, last = F.floor((F.col("off") - F.col("span")) / width), F.floor(F.col("off") / width)
+    blocks = segments.dropDuplicates(["kh", "sh"]).withColumn("k", F.explode(F.sequence(first, last)))
+    found = []
+    while True:
+        keyed = _offset_keys(blocks.select("kh", "sh", "off", "span", "k", "seg"), width, length)
+        keyed = write_table(keyed, "suffix-blocks")
+        twice = F.count("*").alias("c")
+        weak = keyed.groupBy("w1", "w2").agg(twice).where("c >= 2").select("w1", "w2")
+        strong = keyed.groupBy("s1", "s2").agg(twice, F.min("sh").alias("one")).where("c >= 2").select("s1", "s2", "one")
+        met = keyed.join(weak, ["w1", "w2"], "left_semi").join(strong, ["s1", "s2"], "left")
+        met = write_table(met.select("kh", "sh", "off", "span", "k", "seg", "one"), "suffix-met")
+        high = F.least(F.col("k") * width + width - 1, "off")
+        low = F.greatest(F.col("k") * width, F.col("off") - F.col("span"))
+        found.append(met.where("one is not null").select("kh", "sh", F.array(F.col("off") - high, F.col("off") - low).alias("run")))
+        left = met.where("one is null or sh = one")
+        if width == 1 or left.isEmpty():
+            break
+        width //= 4
+        first = F.greatest(F.col("k") * 4, F.floor((F.col("off") - F.col("span")) / width))
+        last = F.least(F.col("k") * 4 + 3, F.floor(F.col("off") / width))
+        blocks = left.withColumn("k", F.explode(F.sequence(first, last)))
+    runs = F.flatten(F.collect_list("run")).cast("array<int>").alias("runs")
+    return reduce(DataFrame.unionAll, found).groupBy("kh", "sh").agg(runs)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -382,10 +418,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     wanted = kinds.join(several, "kh").select("kh", "sh", "n", "nd", "rep.doc_id", "rep.th", "rep.place")
     segments = write_table(_segments(docs, wanted, length), "suffix-segments")
     sorted_ = _sorted_groups(segments.where(F.col("nd") <= hot), length, n)
-    counted = _string_by_string(segments.where(F.col("nd") > hot), length)
+    narrowed = _by_narrowing(segments.where(F.col("nd") > hot), length)
     span = F.shiftright("rep.place", 10).bitwiseAND(F.lit(1023)).cast("int")
     copies = kinds.where("n >= 2").select("kh", "sh", F.array(F.lit(0), span).alias("runs"))
-    runs = copies.unionByName(sorted_).unionByName(counted)
+    runs = copies.unionByName(sorted_).unionByName(narrowed)
     lo = F.shiftright("place", 20)
     pairs = F.transform(
         F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)),
