@@ -23,7 +23,7 @@ from vitrine.sources.tables import table
 
 #: The contract of op7: words per n-gram, and the least Jaccard similarity as a fraction.
 WORDS, LEAST = 3, (90, 100)
-#: Documents of a block that one task searches; larger blocks are cut into pairs of chunks.
+#: Documents of a unit that one task searches; larger units are cut into pairs of chunks.
 BLOCK = 512
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -84,8 +84,10 @@ def size_levels(least: tuple[int, int], upto: int) -> np.ndarray:
 def part_keys(gram: np.ndarray, ends: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the parts of every set, at its own level and the next, and the set of each key.
 
-    At a level whose largest size is U two linked sets differ in at most 2U(1-s)/(1+s) n-grams, so
-    with one part more than that one part is the same in both."""
+    At a level whose largest size is U two linked sets differ in at most D = 2U(1-s)/(1+s) n-grams,
+    so of D + 1 + spare parts more than ``spare`` are the same in both. A set with no more than
+    ``spare`` empty parts then shares one with n-grams in it and needs no key for empty ones; only
+    two sets with more empty parts could meet there alone, so such sets keep the keys of all."""
     starts = np.append(0, ends[:-1])
     sizes = ends - starts
     live = np.flatnonzero(sizes)
@@ -96,13 +98,19 @@ def part_keys(gram: np.ndarray, ends: np.ndarray, least: tuple[int, int]) -> tup
     spread, content = mix64(gram ^ _ODD[1]), mix64(gram + _ODD[2])
     for level in (own, own + 1):
         largest = firsts[level + 1] - 1
-        parts = 2 * largest * (least[1] - least[0]) // (least[1] + least[0]) + 1
+        differ = 2 * largest * (least[1] - least[0]) // (least[1] + least[0])
+        spare = np.where(differ > 0, 1 + differ // 8, 0)
+        parts = differ + 1 + spare
         base = np.append(0, np.cumsum(parts))
         at = base[row] + (spread % parts[row].astype(np.uint64)).astype(np.int64)
         sums = np.zeros(base[-1], np.uint64)
         np.add.at(sums, at, content)
+        full = np.bincount(at, minlength=base[-1]) > 0
         owner = np.repeat(np.arange(len(live)), parts)
         number = np.arange(base[-1]) - base[owner]
+        empty = parts - np.bincount(owner[full], minlength=len(live))
+        sent = full | (empty > spare)[owner]
+        owner, number, sums = owner[sent], number[sent], sums[sent]
         out.append(mix64(sums + mix64((level[owner] * (1 << 32) + number).astype(np.uint64))))
         sets.append(live[owner])
     return np.concatenate(out).astype(np.int64), np.concatenate(sets)
@@ -226,23 +234,56 @@ def _squeezed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(run, "doc_id long, text binary")
 
 
-def _links(members: DataFrame, docs: DataFrame, words: int, least: tuple[int, int], partitions: int, block: int) -> DataFrame:
-    """Links (a, b) of the members (doc_id, fp, component) that hold every group together.
-
-    A component beyond ``block`` documents is cut into chunks by a hash, and every pair of chunks
-    is a unit of work; the others are one unit each."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("m")).where("m >= 2")
+def _chunked(grouped: DataFrame, block: int) -> DataFrame:
+    """unit, doc_id, fp of (unit, doc_id, fp), with the number ``c`` of chunks that a unit beyond
+    ``block`` documents is cut into by a hash, and each document's ``chunk``."""
+    sizes = grouped.groupBy("unit").agg(F.count("*").alias("m")).where("m >= 2")
     cut = F.ceil(F.col("m") / block).cast("int")
     chunk = F.when(cut > 1, F.pmod(F.xxhash64("doc_id"), cut)).otherwise(0).cast("int")
-    placed = members.join(sizes, "component").select("component", "doc_id", "fp", cut.alias("c"), chunk.alias("chunk"))
+    return grouped.join(sizes, "unit").select("unit", "doc_id", "fp", cut.alias("c"), chunk.alias("chunk"))
+
+
+def _placed(kept: DataFrame, members: DataFrame, block: int) -> DataFrame:
+    """Members (doc_id, fp, component) in units of work (see ``_chunked``) that hold every pair that
+    shares a key.
+
+    A component of at most ``block`` documents is one unit. In a larger one, which is a chain of
+    documents more often than a group of near copies, all documents that meet the same first one
+    under any key are a unit; those that meet under keys of more than ``block`` documents are a unit
+    of chunks."""
+    sizes = members.groupBy("component").agg(F.count("*").alias("m")).where("m >= 2")
+    sized = write_table(members.join(sizes, "component"), "join-members")
+    small = sized.where(F.col("m") <= block).select(F.col("component").alias("unit"), "doc_id", "fp")
+    large = sized.where(F.col("m") > block).select("doc_id", "fp")
+    if large.isEmpty():
+        return _chunked(small, block)
+    mine = write_table(kept.join(large.select("doc_id").distinct(), "doc_id", "left_semi"), "join-large")
+    keys = mine.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("who")).where("n >= 2")
+    keys = write_table(keys.groupBy("who", "n").agg(F.min("key").alias("key")), "join-units")
+    cool = mine.join(keys.where(F.col("n") <= block).select("key"), "key")
+    first = cool.groupBy("key").agg(F.min("doc_id").alias("a"))
+    cool = cool.join(first, "key").select(F.xxhash64(F.lit("first"), "a").alias("unit"), "doc_id").distinct()
+    units = small.unionByName(cool.join(large, "doc_id").select("unit", "doc_id", "fp"))
+    hot = mine.join(keys.where(F.col("n") > block).select("key"), "key")
+    first = hot.groupBy("key").agg(F.min("doc_id").alias("a"))
+    edges = hot.join(first, "key").where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
+    groups = components(edges, "join-hot")
+    dense = large.join(groups, F.col("doc_id") == F.col("node"))
+    dense = dense.select(F.xxhash64(F.lit("dense"), "component").alias("unit"), "doc_id", "fp")
+    return _chunked(units.unionByName(dense), block)
+
+
+def _links(placed: DataFrame, docs: DataFrame, words: int, least: tuple[int, int], partitions: int) -> DataFrame:
+    """Links (a, b) of the placed documents that hold every group together; every pair of chunks of
+    a unit is searched by itself."""
     texts = _squeezed(docs).withColumnRenamed("doc_id", "d2")
-    units = F.transform(
+    pairs = F.transform(
         F.sequence(F.lit(0), F.col("c") - 1),
         lambda o: F.struct(F.least(o, F.col("chunk")).alias("i"), F.greatest(o, F.col("chunk")).alias("j")),
     )
     rows = texts.join(placed, F.col("d2") == F.col("doc_id")).drop("d2")
-    rows = rows.withColumn("unit", F.explode(units)).select("component", "unit.i", "unit.j", "chunk", "doc_id", "fp", "text")
-    key = ["component", "i", "j"]
+    rows = rows.withColumn("pair", F.explode(pairs)).select("unit", "pair.i", "pair.j", "chunk", "doc_id", "fp", "text")
+    key = ["unit", "i", "j"]
 
     def solve(unit: list[tuple]) -> list[tuple[int, int]]:
         ids: list[list[int]] = [[], []]
@@ -255,9 +296,9 @@ def _links(members: DataFrame, docs: DataFrame, words: int, least: tuple[int, in
             gram, ends = ngram_sets(raw, np.array([0, len(raw)]), words)
             sums = np.append(np.uint64(0), np.cumsum(mix64(gram), dtype=np.uint64))
             mine = int(mix64(sums[-1:] + np.uint64(ends[-1])).astype(np.int64)[0])
-            if mine != fp or doc_id in seen:  # another row of this doc_id has the set that counts
+            if mine != fp or (doc_id, fp) in seen:  # another row of this doc_id has the set that counts
                 continue
-            seen.add(doc_id)
+            seen.add((doc_id, fp))
             side = int(i != j and chunk_ == j)
             ids[side].append(doc_id)
             sets[side].append(gram)
@@ -311,7 +352,7 @@ def similarity_groups(
     met = kept.join(first, "key").where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     blocks = components(met, "join-blocks")
     members = reps.join(blocks, F.col("rep") == F.col("node")).select(F.col("rep").alias("doc_id"), "fp", "component")
-    links = components(_links(members, docs, words, least, n, block), "join-links")
+    links = components(_links(_placed(kept, members, block), docs, words, least, n), "join-links")
     same_id = sets.where("doc_id is not null").join(reps, "fp").where("doc_id <> rep")  # a doc_id with several sets
     several = sets.where("fp is not null").groupBy("doc_id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y")
     if not several.isEmpty():
