@@ -25,7 +25,7 @@ _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _BLANK = chr(_BYTE_LETTERS[0x20])
 #: Distinct chunks that one worker remembers; later ones are encoded anew each time.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 
 
 class CachedEncoder:

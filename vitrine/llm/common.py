@@ -31,6 +31,14 @@ def write_table(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Send at most ``rows`` documents to a Python worker at once, which bounds its memory; a smaller
+    number that the session has set already stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def text_bytes(column: str = "text") -> F.Column:
     """The UTF-8 bytes of a text column, empty for null."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))

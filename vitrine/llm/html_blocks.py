@@ -164,9 +164,10 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             parts = []
 
     while at < size:
-        found = _TAG.search(page, at)
+        # without another end of a tag the rest is text, up to a comment that is never closed
+        found = _TAG.search(page, at) if page.find(">", at) >= 0 else None
         if not found:
-            parts.append((page[at:], links > 0))
+            parts.append((re.split("<[!?]", page[at:], maxsplit=1)[0], links > 0))
             break
         if found.start() > at:
             parts.append((page[at : found.start()], links > 0))
