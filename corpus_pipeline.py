@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitrine.llm import curve_packing, ngram_join, ppm_language, source_mix, suffix_dedup
-from vitrine.llm.common import shared_dir
+from vitrine.llm.common import bounded_batches, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Bits a byte above which a document is text of no learned language.
@@ -21,6 +21,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts, texts without a letter and texts that every language codes in more than MOST_BITS
     bits a byte go."""
+    bounded_batches(spark)
     found = ppm_language.predict(docs.select(*COLUMNS), ppm_language.train(docs))
     kept = found.where((F.col("lang_pred") != ppm_language.UNDETERMINED) & (F.col("bits_per_byte") <= MOST_BITS))
     return kept.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
@@ -28,6 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near copies; one of each repeated row."""
+    bounded_batches(spark)
     groups = ngram_join.similarity_groups(docs, WORDS, LEAST)
     others = groups.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.select(*COLUMNS).join(others, "doc_id", "left_anti")
@@ -39,6 +41,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes that 200-byte strings repeat; what is left empty goes.
 
     Cut characters go whole: bytes that no longer make one are dropped."""
+    bounded_batches(spark)
     kept = suffix_dedup.remove_repeats(docs, carry=["lang", "source"])
     kept = kept.withColumn("text", suffix_dedup.whole_characters(F.col("kept"))).where("text <> ''")
     return kept.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
@@ -58,6 +61,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as packed sequences of 1024 ids."""
+    bounded_batches(spark)
     return curve_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
