@@ -24,8 +24,8 @@ _BYTE_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_
 _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _BLANK = chr(_BYTE_LETTERS[0x20])
-#: Distinct chunks that one worker remembers; later ones are encoded anew each time.
-CACHE_ENTRIES = 250_000
+#: Distinct chunks that one worker remembers by default; later ones are encoded anew each time.
+CACHE_ENTRIES = 1_000_000
 
 
 class CachedEncoder:
@@ -35,13 +35,13 @@ class CachedEncoder:
     otherwise it keeps white space (byte-level BPE).
     """
 
-    def __init__(self, path: str, drops_space: bool) -> None:
+    def __init__(self, path: str, drops_space: bool, remember: int = CACHE_ENTRIES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.drops_space = drops_space
+        self.drops_space, self.remember = drops_space, remember
         self.pieces = (_WORD_PIECE if drops_space else _BYTE_PIECE).findall
         self.cache: dict[str, bytes] = {}
 
@@ -75,7 +75,7 @@ class CachedEncoder:
             fresh: dict[str, bytes] = {}
             for chunk in missing:
                 fresh[chunk] = self._learn(chunk)
-            if len(self.cache) + len(fresh) <= CACHE_ENTRIES:
+            if len(self.cache) + len(fresh) <= self.remember:
                 self.cache.update(fresh)
             else:
                 known = _Both(self.cache, fresh)
@@ -97,12 +97,12 @@ class _Both(dict):
         return self.rest[key]
 
 
-_ENCODERS: dict[tuple[str, bool], CachedEncoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], CachedEncoder] = {}
 
 
-def encoder(path: str, drops_space: bool) -> CachedEncoder:
+def encoder(path: str, drops_space: bool, remember: int = CACHE_ENTRIES) -> CachedEncoder:
     """The encoder of this Python worker for ``path``; it lives as long as the worker does."""
-    key = (path, drops_space)
+    key = (path, drops_space, remember)
     if key not in _ENCODERS:
-        _ENCODERS[key] = CachedEncoder(path, drops_space)
+        _ENCODERS[key] = CachedEncoder(*key)
     return _ENCODERS[key]

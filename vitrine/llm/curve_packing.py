@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.cached_encoder import encoder
+from vitrine.llm.cached_encoder import CACHE_ENTRIES, encoder
 from vitrine.llm.common import binary_views, slices, text_bytes
 from vitrine.sources.tables import table
 
@@ -90,6 +90,7 @@ def pack_documents(
     length: int = SEQUENCE,
     end_id: int = END_ID,
     partitions: int | None = None,
+    remember: int = CACHE_ENTRIES,
 ) -> DataFrame:
     """Pieces of documents in sequences of ``length``: doc_id, start, length, ids (binary, unsigned
     16-bit), ids_crc32, doc_tokens, sequence_id, offset.
@@ -111,7 +112,7 @@ def pack_documents(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined)], names=["doc_id", "text", "curve_key"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = encoder(tokenizer, drops_space)
+        code = encoder(tokenizer, drops_space, remember)
         sequence, filled = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
