@@ -15,6 +15,9 @@ MOST_BITS = 6.0
 #: Near copies: words per shingle and least similarity.
 WORDS, LEAST = 5, (80, 100)
 
+#: Chunks that a worker remembers while it packs: it lives on into other stages.
+REMEMBER = 250_000
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are text of a learned language, with the language they are in.
@@ -62,7 +65,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as packed sequences of 1024 ids."""
     bounded_batches(spark)
-    return curve_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return curve_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), remember=REMEMBER)
 
 
 STAGES = [
