@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.operators.graph import components  # noqa: F401
+
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which the driver and all executors see.
@@ -92,43 +94,3 @@ class Forest:
             return False
         self.parent[max(a, b)] = min(a, b)
         return True
-
-
-def components(edges: DataFrame, tag: str, rounds: int = 60) -> DataFrame:
-    """Connected components of ``edges`` (a long, b long): rows (node, component = smallest node).
-
-    Each round lets every node choose its smallest neighbour (a partial aggregate, so a hub costs
-    no task more than its share), contracts the edges and drops loops; the chosen labels of all
-    rounds are then followed from the last to the first. Rounds grow with the logarithm of the
-    longest path. Every round is written to the shared folder. Nodes without an edge have no row.
-    """
-    spark = edges.sparkSession
-    live = write_table(
-        edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), tag
-    )
-    maps: list[DataFrame] = []
-    for _ in range(rounds):
-        if live.isEmpty():
-            break
-        both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        chosen = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-        chosen = write_table(chosen.select("node", F.least("node", "m").alias("to")), tag)
-        # a node may choose one that itself chooses a smaller: follow that once more
-        hop = chosen.select(F.col("node").alias("to"), F.col("to").alias("to2"))
-        chosen = write_table(
-            chosen.join(hop, "to", "left").select("node", F.coalesce("to2", "to").alias("to")), tag
-        )
-        maps.append(chosen)
-        left = chosen.select(F.col("node").alias("a"), F.col("to").alias("a2"))
-        right = chosen.select(F.col("node").alias("b"), F.col("to").alias("b2"))
-        moved = live.join(left, "a").join(right, "b").where("a2 <> b2")
-        live = write_table(
-            moved.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), tag
-        )
-    if not maps:
-        return spark.createDataFrame([], "node long, component long")
-    last = maps[-1].select("node", F.col("to").alias("component"))
-    for chosen in reversed(maps[:-1]):
-        then = last.select(F.col("node").alias("to"), "component")
-        last = chosen.join(then, "to", "left").select("node", F.coalesce("component", "to").alias("component"))
-    return last

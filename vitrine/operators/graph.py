@@ -9,24 +9,34 @@ from pyspark.sql import functions as F
 from vitrine.sources.shared import write_table
 
 
-def components(edges: DataFrame, tag: str, rounds: int = 60) -> DataFrame:
+#: Rounds after which ``components`` raises; 3/4 of the nodes or fewer are expected to be left by a round.
+MOST_ROUNDS = 400
+
+
+def components(edges: DataFrame, tag: str, rounds: int = MOST_ROUNDS) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, component = smallest node).
 
-    Each round lets every node choose its smallest neighbour (a partial aggregate, so a hub costs
-    no task more than its share), contracts the edges and drops loops; the chosen labels of all
-    rounds are then followed from the last to the first. Rounds grow with the logarithm of the
-    longest path. Every round is written to the shared folder. Nodes without an edge have no row.
+    Each round lets every node choose its first neighbour (a partial aggregate, so a hub costs no
+    task more than its share), contracts the edges and drops loops; the chosen labels of all rounds
+    are then followed from the last to the first, and the smallest node of each label names it. First
+    is the smallest in the first round, which ends stars around their smallest node, and the least
+    by a hash that is another in each later round, so that no order of the nodes makes long ways:
+    rounds grow with the logarithm of the number of nodes. Every round is written to the shared
+    folder. Edges that are left after ``rounds`` raise. Nodes without an edge have no row.
     """
     least, most = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     live = write_table(edges.select(least, most).where("a <> b").distinct(), tag)
     maps: list[DataFrame] = []
-    for _ in range(rounds):
-        if live.isEmpty():
-            break
+    while not live.isEmpty():
+        if len(maps) == rounds:
+            raise RuntimeError(f"components ({tag}): edges are left after {rounds} rounds")
+        turn = len(maps)
+        rank = lambda c, turn=turn: F.xxhash64(F.lit(turn), c) if turn else F.col(c)
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        chosen = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-        chosen = write_table(chosen.select("node", F.least("node", "m").alias("to")), tag)
-        # a node may choose one that itself chooses a smaller: follow that once more
+        chosen = both.groupBy(F.col("a").alias("node")).agg(F.min_by("b", rank("b")).alias("m"))
+        # only ever from a later to an earlier rank, so choices make no circle
+        chosen = write_table(chosen.select("node", F.when(rank("m") < rank("node"), F.col("m")).otherwise(F.col("node")).alias("to")), tag)
+        # a node may choose one that itself chooses an earlier: follow that once more
         hop = chosen.select(F.col("node").alias("to"), F.col("to").alias("to2"))
         chosen = write_table(chosen.join(hop, "to", "left").select("node", F.coalesce("to2", "to").alias("to")), tag)
         maps.append(chosen)
@@ -40,7 +50,11 @@ def components(edges: DataFrame, tag: str, rounds: int = 60) -> DataFrame:
     for chosen in reversed(maps[:-1]):
         then = last.select(F.col("node").alias("to"), "component")
         last = chosen.join(then, "to", "left").select("node", F.coalesce("component", "to").alias("component"))
-    return last
+    if len(maps) == 1:  # by the smallest neighbour, and what a node chose is the smallest of all
+        return last
+    last = write_table(last, tag)
+    names = last.groupBy("component").agg(F.min("node").alias("name"))
+    return last.join(names, "component").select("node", F.col("name").alias("component"))
 
 
 def reach(edges: DataFrame, roots: DataFrame, depth: int, tag: str = "reach") -> DataFrame:
