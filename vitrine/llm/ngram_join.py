@@ -257,7 +257,8 @@ def _placed(kept: DataFrame, members: DataFrame, block: int) -> DataFrame:
     large = sized.where(F.col("m") > block).select("doc_id", "fp")
     if large.isEmpty():
         return _chunked(small, block)
-    mine = write_table(kept.join(large.select("doc_id").distinct(), "doc_id", "left_semi"), "join-large")
+    # a row that is there twice would cancel itself in ``who``
+    mine = write_table(kept.join(large.select("doc_id").distinct(), "doc_id", "left_semi").distinct(), "join-large")
     keys = mine.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("who")).where("n >= 2")
     keys = write_table(keys.groupBy("who", "n").agg(F.min("key").alias("key")), "join-units")
     cool = mine.join(keys.where(F.col("n") <= block).select("key"), "key")
