@@ -22,9 +22,11 @@ from vitrine.sources.tables import table
 
 #: Longest context in bytes; n-grams of ORDER + 1 = 4 bytes make one unsigned 32-bit key.
 ORDER = 3
-#: Bound of the training sample: expected bytes of text per language, and languages (by their
-#: number of bytes) that are learned at all.
-TRAIN_BYTES, MOST_LANGUAGES = 3_000_000, 64
+#: Bound of the training sample: expected bytes of text per language, and of all languages together,
+#: which share it alike but get LEAST_BYTES at least. Larger languages are sampled by pieces of texts.
+TRAIN_BYTES, ALL_BYTES, LEAST_BYTES, PIECE = 3_000_000, 192_000_000, 65_536, 4096
+#: Languages whose trees stand in one table, and cells of the tables that find keys, of all groups.
+GROUP, CELLS = 64, 6000 * 6000
 UNDETERMINED = "und"
 _PAD = 10  # the byte that stands before a text's first
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -77,7 +79,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 class PpmModel:
     """Frozen context trees of several languages, as sorted key arrays for each order."""
 
-    def __init__(self, counts: pd.DataFrame) -> None:
+    def __init__(self, counts: pd.DataFrame, cells: int = CELLS) -> None:
+        self.cells = cells
         self.languages = sorted(counts["lang"].unique())
         keys = np.unique(counts["gram"].to_numpy().astype(np.uint32))
         n = np.zeros((len(keys), len(self.languages)), np.int64)
@@ -143,7 +146,7 @@ class PpmModel:
         self.pair[pairs] = np.arange(len(pairs))
         self.side = len(pairs) + 1
         self.row = None
-        if self.side <= 6000:
+        if self.side * self.side <= self.cells:
             self.row = np.full(self.side * self.side, -1, np.int32)
             self.row[self.pair[keys >> np.uint32(16)] * self.side + self.pair[keys & np.uint32(0xFFFF)]] = np.arange(len(keys))
         self.known = np.ascontiguousarray(self.bits(keys).T.astype(np.float32))
@@ -181,25 +184,54 @@ class PpmModel:
         return out
 
 
-def train(
-    docs: DataFrame, train_bytes: int = TRAIN_BYTES, most_languages: int = MOST_LANGUAGES
-) -> PpmModel | None:
-    """Learn from the documents that are not held out and have text and language.
+class PpmModels:
+    """The trees of any number of languages, ``group`` to a table: what a language pays depends on its
+    own counts alone, so the code lengths are those of one table."""
 
-    The sample is bounded: per language documents are kept by a hash of their id at the rate that
-    makes ``train_bytes`` of text, and only the ``most_languages`` largest languages are learned, so
-    what reaches the driver does not grow with the corpus. None where there is nothing to learn.
+    def __init__(self, counts: pd.DataFrame, group: int = GROUP) -> None:
+        self.languages = sorted(counts["lang"].unique())
+        parts = [self.languages[i : i + group] for i in range(0, len(self.languages), group)]
+        self.models = [PpmModel(counts[counts["lang"].isin(part)], CELLS // len(parts)) for part in parts]
+
+    def bits(self, wanted: np.ndarray) -> np.ndarray:
+        return np.concatenate([m.bits(wanted) for m in self.models], axis=1)
+
+    def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return np.concatenate([m.code_lengths(data, offsets) for m in self.models], axis=1)
+
+
+def training_pieces(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
+    """lang, text that are learned: the documents that are not held out and have text and language.
+
+    A language of more than ``train_bytes`` (or of its share of ALL_BYTES) is learned from pieces of
+    PIECE bytes, kept by a hash of document and place at the rate that makes so many bytes; the piece
+    of the least hash is always kept, so that every language has text, also where it is few very long
+    documents or one row many times."""
+    usable = docs.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0) & ~held_out())
+    usable = usable.select("lang", F.col("doc_id").cast("string").alias("d"), F.col("text").cast("binary").alias("text"))
+    pieces = F.sequence(F.lit(0), F.floor((F.octet_length("text") - 1) / PIECE).cast("int"))
+    place = lambda i: F.pmod(F.xxhash64("d", i), F.lit(1 << 30))
+    first = F.array_min(F.transform(pieces, place))
+    totals = usable.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.min(first).alias("first")).collect()
+    share = min(train_bytes, max(ALL_BYTES // max(len(totals), 1), LEAST_BYTES))
+    rows = [(r["lang"], float(share / r["bytes"] * (1 << 30)), r["first"]) for r in totals]
+    rates = docs.sparkSession.createDataFrame(rows, "lang string, below double, first long")
+    placed = usable.join(F.broadcast(rates), "lang")
+    kept = F.filter(pieces, lambda i: (place(i) < F.col("below")) | (place(i) == F.col("first")))
+    cut = F.transform(kept, lambda i: F.substring(F.col("text"), i * PIECE + 1, F.lit(PIECE)))
+    return placed.select("lang", F.explode(F.when(F.col("below") >= float(1 << 30), F.array("text")).otherwise(cut)).alias("text"))
+
+
+def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> PpmModel | PpmModels | None:
+    """Learn every language of the documents that are not held out and have text and language.
+
+    The sample is bounded (see ``training_pieces``), so what reaches the driver does not grow with the
+    corpus, only with the number of languages. None where there is nothing to learn.
     """
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    totals = usable.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    totals = totals.orderBy(F.col("bytes").desc(), "lang").limit(most_languages)
-    rates = {r["lang"]: min(1.0, train_bytes / max(r["bytes"], 1)) for r in totals.collect()}
-    if not rates:
+    counts = gram_counts(training_pieces(docs, train_bytes)).toPandas()
+    if not len(counts):
         return None
-    rate = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])[F.col("lang")]
-    kept = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate * float(1 << 30))
-    counts = gram_counts(kept).toPandas()
-    return PpmModel(counts) if len(counts) else None
+    return PpmModel(counts) if counts["lang"].nunique() <= GROUP else PpmModels(counts)
 
 
 def has_letter(text: bytes) -> bool:
