@@ -32,7 +32,8 @@ class CachedEncoder:
     """Ids of whole texts as little-endian unsigned 16-bit bytes (vocabularies below 65,536).
 
     ``drops_space`` says that the vocabulary drops white space and lower-cases (word-end BPE);
-    otherwise it keeps white space (byte-level BPE).
+    otherwise it keeps white space (byte-level BPE). A text that may hold an added token of the
+    vocabulary (in any case, where it lower-cases) goes to the tokenizer whole.
     """
 
     def __init__(self, path: str, drops_space: bool, remember: int = CACHE_ENTRIES) -> None:
@@ -40,7 +41,8 @@ class CachedEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.lower() for t in added] if drops_space else added
         self.drops_space, self.remember = drops_space, remember
         self.pieces = (_WORD_PIECE if drops_space else _BYTE_PIECE).findall
         self.cache: dict[str, bytes] = {}
@@ -64,8 +66,9 @@ class CachedEncoder:
         pieces: list[list[str] | None] = []
         missing: set[str] = set()
         for text in texts:
-            if _PLAIN.match(text):
-                chunks = cut(text.lower() if self.drops_space else text)
+            cased = text.lower() if self.drops_space else text
+            if _PLAIN.match(text) and not any(t in cased for t in self.added):
+                chunks = cut(cased)
                 missing.update(set(chunks).difference(self.cache))
                 pieces.append(chunks)
             else:
