@@ -73,24 +73,3 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
-
-
-class Forest:
-    """Union by smallest index over a numbered set; what a task merges among its own rows."""
-
-    def __init__(self, n: int) -> None:
-        self.parent = np.arange(n)
-
-    def find(self, x: int) -> int:
-        p = self.parent
-        while p[x] != x:
-            p[x] = p[p[x]]
-            x = p[x]
-        return int(x)
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a == b:
-            return False
-        self.parent[max(a, b)] = min(a, b)
-        return True

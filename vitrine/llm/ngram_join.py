@@ -1,30 +1,36 @@
 """Similarity join on word n-gram sets: T-occurrence search with DivideSkip, and link groups.
 
-Documents meet in a block only if one part of their n-gram sets is equal: the universe is hashed
-into one part more than two linked sets of their size can differ in n-grams, so two linked sets
-always agree on a part. Inside a block the inverted n-gram lists are searched for every document:
-short lists are merged and counted, the longest lists are only probed (by binary search) for the
-documents that the short ones leave possible, and those reaching the required overlap are linked.
+Documents are searched in the same unit only if a part of their n-gram sets agrees: the universe is
+hashed into parts, for short sets into one more than two linked sets can differ in n-grams, so two
+linked sets always agree on a part; for longer sets into PARTS, of which the few smallest n-grams
+count, so that a linked pair agrees on none with a chance below ODDS. Inside a unit the inverted
+n-gram lists are searched: a heap merges the short lists and skips what cannot occur often enough,
+the longest lists are only probed (by binary search) for the documents that the short ones leave
+possible, and those reaching the required overlap are linked.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import Forest, binary_views, components, mix64, slices, text_bytes, write_table
+from vitrine.llm.common import binary_views, components, mix64, slices, text_bytes, write_table
 from vitrine.llm.suffix_dedup import stretch_hash
 from vitrine.sources.tables import table
 
 #: The contract of op7: words per n-gram, and the least Jaccard similarity as a fraction.
 WORDS, LEAST = 3, (90, 100)
-#: Documents of a unit that one task searches; larger units are cut into pairs of chunks.
-BLOCK = 512
+#: Sets and n-grams of a unit that one task searches at once; larger units are cut into pairs of chunks.
+BLOCK, GRAMS = 2048, 1 << 19
+#: Parts of a long set, and the chance that two long sets that just link agree on none of them.
+PARTS, ODDS = 48, 1e-11
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -81,44 +87,101 @@ def size_levels(least: tuple[int, int], upto: int) -> np.ndarray:
     return np.array(firsts, np.int64)
 
 
-def part_keys(gram: np.ndarray, ends: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the parts of every set, at its own level and the next, and the set of each key.
+def smallest_that_count(least: tuple[int, int]) -> int:
+    """N-grams of a part that count in long sets: as many as ODDS allow with PARTS parts."""
+    count = 1
+    while (1 - (least[0] / least[1]) ** (count + 1)) ** PARTS <= ODDS:
+        count += 1
+    return count
+
 
-    At a level whose largest size is U two linked sets differ in at most D = 2U(1-s)/(1+s) n-grams,
-    so of D + 1 + spare parts more than ``spare`` are the same in both. A set with no more than
-    ``spare`` empty parts then shares one with n-grams in it and needs no key for empty ones; only
-    two sets with more empty parts could meet there alone, so such sets keep the keys of all."""
+def part_keys(gram: np.ndarray, ends: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the parts of every set (n-grams ascending within a set), and the set of each key.
+
+    A set has keys at its own level of sizes and the next, so two linked sets meet at one level. At a
+    level whose largest size is U they differ in at most D = 2U(1-s)/(1+s) n-grams, so of
+    D + 1 + spare parts more than ``spare`` are the same in both. A set with no more than ``spare``
+    empty parts then shares one with n-grams in it and needs no key for empty ones; only two sets
+    with more empty parts could meet there alone, so such sets keep the keys of all. All levels that
+    would take more than PARTS parts are one, where a part's key is that of its smallest n-grams:
+    those agree with the similarity of the sets to the power of their number."""
     starts = np.append(0, ends[:-1])
     sizes = ends - starts
     live = np.flatnonzero(sizes)
     firsts = size_levels(least, int(sizes.max(initial=1)) * 2)
-    own = np.searchsorted(firsts, sizes[live], side="right") - 1
-    out, sets = [], []
-    row = np.repeat(np.arange(len(live)), sizes[live])
+    largest = firsts[1:] - 1
+    differ = 2 * largest * (least[1] - least[0]) // (least[1] + least[0])
+    spare = np.where(differ > 0, 1 + differ // 8, 0)
+    parts = differ + 1 + spare
+    long_level = int(np.searchsorted(parts, PARTS, side="right"))  # the first that would take more
+    own = np.minimum(np.searchsorted(firsts, sizes[live], side="right") - 1, long_level)
     spread, content = mix64(gram ^ _ODD[1]), mix64(gram + _ODD[2])
+    row = np.repeat(np.arange(len(live)), sizes[live])
+    out, sets = [], []
     for level in (own, own + 1):
-        largest = firsts[level + 1] - 1
-        differ = 2 * largest * (least[1] - least[0]) // (least[1] + least[0])
-        spare = np.where(differ > 0, 1 + differ // 8, 0)
-        parts = differ + 1 + spare
-        base = np.append(0, np.cumsum(parts))
-        at = base[row] + (spread % parts[row].astype(np.uint64)).astype(np.int64)
+        exact = level < long_level
+        some = exact[row]
+        count = np.where(exact, parts[np.minimum(level, len(parts) - 1)], 0)
+        base = np.append(0, np.cumsum(count))
+        at = base[row[some]] + (spread[some] % count[row[some]].astype(np.uint64)).astype(np.int64)
         sums = np.zeros(base[-1], np.uint64)
-        np.add.at(sums, at, content)
+        np.add.at(sums, at, content[some])
         full = np.bincount(at, minlength=base[-1]) > 0
-        owner = np.repeat(np.arange(len(live)), parts)
+        owner = np.repeat(np.arange(len(live)), count)
         number = np.arange(base[-1]) - base[owner]
-        empty = parts - np.bincount(owner[full], minlength=len(live))
-        sent = full | (empty > spare)[owner]
+        empty = count - np.bincount(owner[full], minlength=len(live))
+        sent = full | (empty > spare[np.minimum(level, len(spare) - 1)])[owner]
         owner, number, sums = owner[sent], number[sent], sums[sent]
         out.append(mix64(sums + mix64((level[owner] * (1 << 32) + number).astype(np.uint64))))
         sets.append(live[owner])
+    some = (own + 1 >= long_level)[row]
+    place = row[some] * PARTS + (spread[some] % np.uint64(PARTS)).astype(np.int64)
+    order = np.argsort(place, kind="stable")  # n-grams stay ascending within a part
+    place, value = place[order], content[some][order]
+    new = np.append(True, place[1:] != place[:-1]) if len(place) else np.zeros(0, bool)
+    begin = np.flatnonzero(new)
+    rank = np.arange(len(place)) - np.repeat(begin, np.diff(np.append(begin, len(place))))
+    value[rank >= smallest_that_count(least)] = 0
+    sums = np.add.reduceat(value, begin) if len(begin) else np.zeros(0, np.uint64)
+    out.append(mix64(sums + mix64((place[begin] % PARTS).astype(np.uint64) + np.uint64(1 << 52))))
+    sets.append(live[place[begin] // PARTS])
     return np.concatenate(out).astype(np.int64), np.concatenate(sets)
 
 
 # --- T-occurrence search -------------------------------------------------------------------------
 
 
+def merge_skip(lists: list[list[int]], need: int) -> tuple[list[int], list[int]]:
+    """Numbers that occur in at least ``need`` of the ascending lists, and in how many.
+
+    The heads of the lists stand in a heap. Where the smallest occurs too seldom, as many lists as
+    could not make ``need`` by themselves jump to the next head that is left."""
+    heap = [(one[0], k) for k, one in enumerate(lists) if one]
+    heapify(heap)
+    at = [0] * len(lists)
+    found, counts = [], []
+    while len(heap) >= need:
+        top, hit = heap[0][0], []
+        while heap and heap[0][0] == top:
+            hit.append(heappop(heap)[1])
+        if len(hit) >= need:
+            found.append(top)
+            counts.append(len(hit))
+            target = top + 1
+        else:
+            while heap and len(hit) < need - 1:
+                hit.append(heappop(heap)[1])
+            if not heap:
+                break
+            target = max(heap[0][0], top + 1)
+        for k in hit:
+            one = lists[k]
+            at[k] = j = bisect_left(one, target, at[k])
+            if j < len(one):
+                heappush(heap, (one[j], k))
+    return found, counts
+
+
 class InvertedLists:
     """Inverted n-gram lists of some sets, and the T-occurrence search over them."""
 
@@ -139,6 +202,9 @@ class InvertedLists:
         num, den = self.least
         n = len(query)
         need = -(-num * n // den)  # a union is no smaller than the query
+        able = open_ & (den * self.sizes >= num * n) & (num * self.sizes <= den * n)
+        if not able.any():
+            return np.zeros(0, np.int64)
         i = np.minimum(np.searchsorted(self.grams, query), len(self.grams) - 1)
         i = i[self.grams[i] == query]
         if len(i) < need:
@@ -148,34 +214,46 @@ class InvertedLists:
         # DivideSkip: so many of the longest lists are left out of the merge
         skip = min(need - 1, int(need / (0.0085 * np.log2(max(int(size[-1]), 2)) + 1)))
         short, long_ = i[: len(i) - skip], i[len(i) - skip :]
-        merged = np.concatenate([self.owner[a:b] for a, b in zip(self.at[short].tolist(), self.ends[short].tolist(), strict=True)])
-        found = np.bincount(merged, minlength=len(self.sizes))
-        fits = (den * self.sizes >= num * n) & (num * self.sizes <= den * n)
-        possible = np.flatnonzero((found >= need - skip) & fits & open_)
-        if not len(possible):
-            return possible
-        overlap = found[possible]
-        if len(long_):
+        cut = zip(self.at[short].tolist(), self.ends[short].tolist(), strict=True)
+        lists = [one[able[one]].tolist() for one in (self.owner[a:b] for a, b in cut)]
+        found, counts = merge_skip(lists, need - skip)
+        possible, overlap = np.array(found, np.int64), np.array(counts, np.int64)
+        if len(long_) and len(possible):
             key = long_[:, None] * len(self.sizes) + possible[None, :]
             where = np.minimum(np.searchsorted(self.probe, key), len(self.probe) - 1)
             overlap = overlap + (self.probe[where] == key).sum(axis=0)
         return possible[den * overlap >= num * (n + self.sizes[possible] - overlap)]
 
 
-def link_forest(left: list[np.ndarray], right: list[np.ndarray] | None, least: tuple[int, int]) -> list[tuple[int, int]]:
+def link_forest(
+    left: list[np.ndarray], right: list[np.ndarray] | None, least: tuple[int, int], joined: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Links that join what links join: among ``left``, or between ``left`` and ``right``.
 
-    A set that shares much with many is searched first, and sets already joined with the query are
-    no longer candidates, so a group of near copies costs about one search per set and no pair list.
-    Sets of ``right`` are numbered after those of ``left``."""
+    Sets of ``right`` are numbered after those of ``left``; ``joined`` marks sets that are one group
+    from the start. Sets already joined with the query are no candidates. A set that shares much with
+    many is searched first, and among ``left`` alone the group with most sets still to be searched is
+    left to the searches of all others, so a group of near copies costs about one search."""
     both = left + (right or [])
     index = InvertedLists(both, least)
     across = np.zeros(len(both), bool)
     across[len(left) :] = True
-    weight = [int((index.ends - index.at)[np.searchsorted(index.grams, s)].sum()) for s in left]
-    forest, edges = Forest(len(both)), []
+    weight = np.array([int((index.ends - index.at)[np.searchsorted(index.grams, s)].sum()) for s in left])
+    edges = []
     group = np.arange(len(both))
-    for q in np.argsort(-np.array(weight), kind="stable").tolist():
+    if joined is not None and joined.any():
+        group[joined] = np.flatnonzero(joined)[0]
+    waiting = np.argsort(-weight, kind="stable")
+    while len(waiting):
+        at = 0
+        if right is None:
+            names = group[waiting]
+            others = np.flatnonzero(names != np.bincount(names).argmax())
+            if not len(others):
+                break
+            at = int(others[0])
+        q = int(waiting[at])
+        waiting = np.delete(waiting, at)
         open_ = group != group[q]
         if right is not None:
             open_ &= across
@@ -183,45 +261,51 @@ def link_forest(left: list[np.ndarray], right: list[np.ndarray] | None, least: t
             if group[x] != group[q]:
                 group[group == group[x]] = group[q]
                 edges.append((q, x))
-                forest.join(q, x)
     return edges
 
 
 # --- operator --------------------------------------------------------------------------------------
 
 
+def _print(gram: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Size and 64-bit fingerprint of each set."""
+    sums = np.append(np.uint64(0), np.cumsum(mix64(gram), dtype=np.uint64))
+    starts = np.append(0, ends[:-1])
+    return ends - starts, mix64(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64)).astype(np.int64)
+
+
 def set_summary(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles and a fingerprint of the set (null for no words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = binary_views(batch.column(1))
-            sizes, prints = [], []
-            for i, j in slices(offsets, 1 << 20):
-                gram, ends = ngram_sets(data, offsets[i : j + 1], words)
-                sums = np.append(np.uint64(0), np.cumsum(mix64(gram), dtype=np.uint64))
-                starts = np.append(0, ends[:-1])
-                sizes.append(ends - starts)
-                prints.append(mix64(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64)).astype(np.int64))
-            n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-            p = np.concatenate(prints) if prints else np.zeros(0, np.int64)
+            found = [_print(*ngram_sets(data, offsets[i : j + 1], words)) for i, j in slices(offsets, 1 << 20)]
+            n, p = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(p, mask=n == 0)], names=["doc_id", "n_shingles", "fp"])
 
     return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(run, "doc_id long, n_shingles long, fp long")
 
 
 def part_rows(docs: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
-    """key, doc_id of every part of every set."""
+    """key, fp of every part of every set; of equal sets in one task only the first is sent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
-            data, offsets = binary_views(batch.column(1))
+            data, offsets = binary_views(batch.column(0))
             for i, j in slices(offsets, 1 << 20):
-                keys, sets = part_keys(*ngram_sets(data, offsets[i : j + 1], words), least)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0).take(pa.array(sets + i))], names=["key", "doc_id"])
+                gram, ends = ngram_sets(data, offsets[i : j + 1], words)
+                n, prints = _print(gram, ends)
+                fresh = np.zeros(len(n), bool)
+                for k, p in enumerate(prints.tolist()):
+                    if n[k] and p not in sent:
+                        sent.add(p)
+                        fresh[k] = True
+                keys, sets = part_keys(gram[np.repeat(fresh, n)], np.cumsum(np.where(fresh, n, 0)), least)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints[sets])], names=["key", "fp"])
 
-    known = docs.where("doc_id is not null").select("doc_id", text_bytes().alias("text"))
-    return known.mapInArrow(run, "key long, doc_id long")
+    return docs.where("doc_id is not null").select(text_bytes().alias("text")).mapInArrow(run, "key long, fp long")
 
 
 def _squeezed(docs: DataFrame) -> DataFrame:
@@ -231,93 +315,149 @@ def _squeezed(docs: DataFrame) -> DataFrame:
             small = [press.compress(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], names=["doc_id", "text"])
 
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(run, "doc_id long, text binary")
+    known = docs.where("doc_id is not null").select("doc_id", text_bytes().alias("text"))
+    return known.mapInArrow(run, "doc_id long, text binary")
 
 
-def _chunked(grouped: DataFrame, block: int) -> DataFrame:
-    """unit, doc_id, fp of (unit, doc_id, fp), with the number ``c`` of chunks that a unit beyond
-    ``block`` documents is cut into by a hash, and each document's ``chunk``."""
-    sizes = grouped.groupBy("unit").agg(F.count("*").alias("m")).where("m >= 2")
-    cut = F.ceil(F.col("m") / block).cast("int")
-    chunk = F.when(cut > 1, F.pmod(F.xxhash64("doc_id"), cut)).otherwise(0).cast("int")
-    return grouped.join(sizes, "unit").select("unit", "doc_id", "fp", cut.alias("c"), chunk.alias("chunk"))
+def _set_of(text: bytes, words: int, press: zstandard.ZstdDecompressor) -> tuple[int, np.ndarray]:
+    raw = np.frombuffer(press.decompress(text), np.uint8)
+    gram, ends = ngram_sets(raw, np.array([0, len(raw)]), words)
+    return int(_print(gram, ends)[1][0]), gram
 
 
-def _placed(kept: DataFrame, members: DataFrame, block: int) -> DataFrame:
-    """Members (doc_id, fp, component) in units of work (see ``_chunked``) that hold every pair that
-    shares a key.
+def _chunked(units: DataFrame, block: int, grams: int) -> DataFrame:
+    """unit, i, j, chunk, doc_id, fp, inner of units (unit, doc_id, fp, n_shingles, inner), each cut
+    into pairs (i, j) of chunks where it exceeds ``block`` sets or ``grams`` n-grams.
 
-    A component of at most ``block`` documents is one unit. In a larger one, which is a chain of
-    documents more often than a group of near copies, all documents that meet the same first one
-    under any key are a unit; those that meet under keys of more than ``block`` documents are a unit
-    of chunks."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("m")).where("m >= 2")
-    sized = write_table(members.join(sizes, "component"), "join-members")
-    small = sized.where(F.col("m") <= block).select(F.col("component").alias("unit"), "doc_id", "fp")
-    large = sized.where(F.col("m") > block).select("doc_id", "fp")
-    if large.isEmpty():
-        return _chunked(small, block)
-    # a row that is there twice would cancel itself in ``who``
-    mine = write_table(kept.join(large.select("doc_id").distinct(), "doc_id", "left_semi").distinct(), "join-large")
-    keys = mine.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("who")).where("n >= 2")
-    keys = write_table(keys.groupBy("who", "n").agg(F.min("key").alias("key")), "join-units")
-    cool = mine.join(keys.where(F.col("n") <= block).select("key"), "key")
-    first = cool.groupBy("key").agg(F.min("doc_id").alias("a"))
-    cool = cool.join(first, "key").select(F.xxhash64(F.lit("first"), "a").alias("unit"), "doc_id").distinct()
-    units = small.unionByName(cool.join(large, "doc_id").select("unit", "doc_id", "fp"))
-    hot = mine.join(keys.where(F.col("n") > block).select("key"), "key")
-    first = hot.groupBy("key").agg(F.min("doc_id").alias("a"))
-    edges = hot.join(first, "key").where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
-    groups = components(edges, "join-hot")
-    dense = large.join(groups, F.col("doc_id") == F.col("node"))
-    dense = dense.select(F.xxhash64(F.lit("dense"), "component").alias("unit"), "doc_id", "fp")
-    return _chunked(units.unionByName(dense), block)
-
-
-def _links(placed: DataFrame, docs: DataFrame, words: int, least: tuple[int, int], partitions: int) -> DataFrame:
-    """Links (a, b) of the placed documents that hold every group together; every pair of chunks of
-    a unit is searched by itself."""
-    texts = _squeezed(docs).withColumnRenamed("doc_id", "d2")
+    Sets that are ``inner`` are one group already: their chunks meet those of the others only."""
+    outer = F.col("inner") == F.lit(False)
+
+    def cut(m, w):
+        return F.greatest(F.ceil(F.coalesce(m, F.lit(0)) / block), F.ceil(F.coalesce(w, F.lit(0)) / grams)).cast("int")
+
+    sizes = units.groupBy("unit").agg(
+        F.count("*").alias("m"), F.sum("n_shingles").alias("w"), F.count_if(outer).alias("mo"), F.sum(F.when(outer, F.col("n_shingles"))).alias("wo")
+    )
+    whole = cut(F.col("m"), F.col("w")) <= 1
+    sizes = sizes.where("m >= 2 and mo >= 1").select(
+        "unit",
+        F.when(whole, 1).otherwise(cut(F.col("mo"), F.col("wo"))).alias("outers"),
+        F.when(whole, 0).otherwise(cut(F.col("m") - F.col("mo"), F.col("w") - F.col("wo"))).alias("inners"),
+    )
+    inside = F.col("inner") & (F.col("inners") > 0)
+    mine = F.when(inside, F.col("outers") + F.pmod(F.xxhash64("fp"), F.col("inners")))
+    mine = mine.otherwise(F.pmod(F.xxhash64("fp"), F.col("outers"))).cast("int")
+    last = F.when(inside, F.col("outers")).otherwise(F.col("outers") + F.col("inners")) - 1
     pairs = F.transform(
-        F.sequence(F.lit(0), F.col("c") - 1),
+        F.sequence(F.lit(0), last.cast("int")),
         lambda o: F.struct(F.least(o, F.col("chunk")).alias("i"), F.greatest(o, F.col("chunk")).alias("j")),
     )
-    rows = texts.join(placed, F.col("d2") == F.col("doc_id")).drop("d2")
-    rows = rows.withColumn("pair", F.explode(pairs)).select("unit", "pair.i", "pair.j", "chunk", "doc_id", "fp", "text")
+    placed = units.join(sizes, "unit").withColumn("chunk", mine).withColumn("pair", F.explode(pairs))
+    return placed.select("unit", "pair.i", "pair.j", "chunk", "doc_id", "fp", "inner")
+
+
+def _to_pivots(large: DataFrame, mine: DataFrame, texts: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
+    """Links (a, b) of the sets of each component with its pivot, the set that meets most others."""
+    score = mine.groupBy("component", "fp").agg(F.sum("n").alias("s"))
+    pivots = score.groupBy("component").agg(F.max(F.struct("s", "fp")).alias("top")).select("component", F.col("top.fp").alias("pivot"))
+    rows = texts.join(large, "doc_id").select("component", "fp", "text")
+    chosen = rows.join(pivots, "component").where("fp = pivot").select("component", "pivot", F.col("text").alias("pivot_text"))
+    num, den = least
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press, name, centre = zstandard.ZstdDecompressor(), None, None
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for fp, text, pivot, pivot_text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if pivot != name:
+                    read, gram = _set_of(pivot_text, words, press)
+                    name, centre = (pivot, gram) if read == pivot else (None, None)
+                read, gram = _set_of(text, words, press)
+                if read != fp or fp == pivot or centre is None or num * max(len(gram), len(centre)) > den * min(len(gram), len(centre)):
+                    continue
+                same = len(np.intersect1d(gram, centre, assume_unique=True))
+                if den * same >= num * (len(gram) + len(centre) - same):
+                    out.append((pivot, fp))
+            a, b = zip(*out, strict=True) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    both = rows.join(chosen, "component").select("fp", "text", "pivot", "pivot_text")
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def _placed(
+    kept: DataFrame, members: DataFrame, texts: DataFrame, words: int, least: tuple[int, int], block: int, grams: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Members (doc_id, fp, n_shingles, component) in units of work (see ``_chunked``) that hold every
+    pair that shares a key and is not joined yet, and links found on the way.
+
+    A component of at most ``block`` sets and ``grams`` n-grams is one unit. In a larger one all sets
+    are first compared with one pivot, which joins a group of near copies at once; keys whose sets
+    are all joined go. Of the others, all sets that meet the same first one under any key are a unit;
+    those that meet under keys of more than ``block`` sets are a unit of chunks, in which joined sets
+    meet only those that are not."""
+    sizes = members.groupBy("component").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("w")).where("m >= 2")
+    sized = write_table(members.join(sizes, "component"), "join-members")
+    fits = (F.col("m") <= block) & (F.col("w") <= grams)
+    sets = ["doc_id", "fp", "n_shingles"]
+    small = sized.where(fits).select(F.col("component").alias("unit"), *sets, F.lit(False).alias("inner"))
+    large = sized.where(~fits).select(*sets, "component")
+    if large.isEmpty():
+        return _chunked(small, block, grams), None
+    mine = write_table(kept.join(large.select("fp", "component"), "fp"), "join-large")
+    pivoted = write_table(_to_pivots(large, mine, texts, words, least), "join-pivots")
+    group = pivoted.select(F.col("b").alias("fp"), F.col("a").alias("pivot")).unionByName(pivoted.select(F.col("a").alias("fp"), F.col("a").alias("pivot")).distinct())
+    mine = mine.join(group, "fp", "left").withColumn("group", F.coalesce("pivot", "fp"))
+    keys = mine.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("who"), F.min("group").alias("x"), F.max("group").alias("y"), F.min("fp").alias("first")
+    )
+    keys = keys.where("x <> y").groupBy("who", "n").agg(F.min(F.struct("key", "first")).alias("k"))
+    keys = write_table(keys.select("n", "k.key", "k.first"), "join-units")
+    met = mine.select("key", "fp").join(keys, "key").select("fp", "n", "first")
+    cool = met.where(F.col("n") <= block).select(F.xxhash64(F.lit("first"), "first").alias("unit"), "fp").distinct()
+    hot = met.where(F.col("n") > block)
+    groups = components(hot.where("fp <> first").select(F.col("first").alias("a"), F.col("fp").alias("b")), "join-hot")
+    dense = groups.select(F.xxhash64(F.lit("dense"), "component").alias("unit"), F.col("node").alias("fp"))
+    units = cool.unionByName(dense).join(large.select(*sets), "fp").join(group, "fp", "left")
+    units = units.select("unit", *sets, F.col("pivot").isNotNull().alias("inner"))
+    return _chunked(small.unionByName(units), block, grams), pivoted
+
+
+def _links(placed: DataFrame, texts: DataFrame, words: int, least: tuple[int, int], partitions: int) -> DataFrame:
+    """Links (a, b) of the placed sets that hold every group together; every pair of chunks of a unit
+    is searched by itself."""
+    rows = texts.join(placed, "doc_id").select("unit", "i", "j", "chunk", "fp", "inner", "text")
     key = ["unit", "i", "j"]
 
     def solve(unit: list[tuple]) -> list[tuple[int, int]]:
         ids: list[list[int]] = [[], []]
         sets: list[list[np.ndarray]] = [[], []]
+        inner: list[list[bool]] = [[], []]
         seen = set()
         i, j = unit[0][1], unit[0][2]
         press = zstandard.ZstdDecompressor()
-        for _, _, _, chunk_, doc_id, fp, text in unit:
-            raw = np.frombuffer(press.decompress(text), np.uint8)
-            gram, ends = ngram_sets(raw, np.array([0, len(raw)]), words)
-            sums = np.append(np.uint64(0), np.cumsum(mix64(gram), dtype=np.uint64))
-            mine = int(mix64(sums[-1:] + np.uint64(ends[-1])).astype(np.int64)[0])
-            if mine != fp or (doc_id, fp) in seen:  # another row of this doc_id has the set that counts
+        for _, _, _, chunk_, fp, inner_, text in unit:
+            if fp in seen:
+                continue
+            read, gram = _set_of(text, words, press)
+            if read != fp:  # another row of this doc_id has the set that counts
                 continue
-            seen.add((doc_id, fp))
+            seen.add(fp)
             side = int(i != j and chunk_ == j)
-            ids[side].append(doc_id)
+            ids[side].append(fp)
             sets[side].append(gram)
-        if i != j and not (sets[0] and sets[1]):
+            inner[side].append(inner_)
+        if len(seen) < 2 or i != j and not (sets[0] and sets[1]):
             return []
         names = ids[0] + ids[1]
-        found = link_forest(sets[0], sets[1] if i != j else None, least) if sets[0] else []
+        found = link_forest(sets[0], sets[1] if i != j else None, least, np.array(inner[0] + inner[1]))
         return [(names[a], names[b]) for a, b in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         out: list[tuple[int, int]] = []
-
-        def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
-            return zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
         for batch in batches:
-            for row in rows_of(batch):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and held[0][:3] != row[:3]:
                     out += solve(held)
                     held = []
@@ -331,36 +471,43 @@ def _links(placed: DataFrame, docs: DataFrame, words: int, least: tuple[int, int
 
 
 def similarity_groups(
-    docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST, block: int = BLOCK
+    docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST, block: int = BLOCK, grams: int = GRAMS
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
     Words are runs other than blank and \\t..\\r, A-Z lower-cased; a text of fewer than ``words``
     words is one n-gram. Null texts and texts without words have an empty set and stand alone. Equal
-    sets are one set from the start, so copies cost nothing more. A null doc_id takes part through
-    the rows that share its set only, and has a null component where there are none; rows of equal
-    doc_id are one document whose links add up. Other columns are ignored; an empty table gives no
-    rows. Very long texts are read whole. Sets are compared by 64-bit hashes of their n-grams.
+    sets are one set from the start. A null doc_id takes part through the rows that share its set
+    only, and has a null component where there are none; rows of equal doc_id are one document whose
+    links add up. Other columns are ignored; an empty table gives no rows. Very long texts are read
+    whole. Sets are compared by 64-bit hashes of their n-grams, equal sets by one 64-bit hash (of N
+    different sets two share it with a chance of N * N / 2**65).
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = write_table(set_summary(docs, words), "join-sets")
-    reps = sets.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    parts = part_rows(docs, words, least)
-    shared = parts.groupBy("key").agg(F.count("*").alias("n")).where("n >= 2").select("key")
-    kept = write_table(parts.join(shared, "key", "left_semi"), "join-parts")
-    first = kept.groupBy("key").agg(F.min("doc_id").alias("a"))
-    met = kept.join(first, "key").where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    blocks = components(met, "join-blocks")
-    members = reps.join(blocks, F.col("rep") == F.col("node")).select(F.col("rep").alias("doc_id"), "fp", "component")
-    links = components(_links(_placed(kept, members, block), docs, words, least, n), "join-links")
-    same_id = sets.where("doc_id is not null").join(reps, "fp").where("doc_id <> rep")  # a doc_id with several sets
-    several = sets.where("fp is not null").groupBy("doc_id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y")
-    if not several.isEmpty():
-        ties = same_id.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-        links = components(ties.unionByName(links.select(F.col("component").alias("a"), F.col("node").alias("b"))), "join-ties")
-    out = sets.join(reps, "fp", "left").join(links, F.coalesce("rep", "doc_id") == F.col("node"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    known = sets.where("fp is not null and doc_id is not null")
+    reps = known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n_shingles"))
+    same_key = Window.partitionBy("key")
+    parts = part_rows(docs, words, least).repartition(n, "key").dropDuplicates(["key", "fp"])
+    kept = parts.withColumn("n", F.count("*").over(same_key)).where("n >= 2").withColumn("a", F.min("fp").over(same_key))
+    kept = write_table(kept, "join-parts")
+    blocks = components(kept.where("a <> fp").select("a", F.col("fp").alias("b")), "join-blocks")
+    members = reps.join(blocks, F.col("fp") == F.col("node")).select(F.col("rep").alias("doc_id"), "fp", "n_shingles", "component")
+    texts = _squeezed(docs)
+    placed, pivoted = _placed(kept, members, texts, words, least, block, grams)
+    links = _links(placed, texts, words, least, n)
+    if pivoted is not None:
+        links = links.unionByName(pivoted)
+    several = known.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a <> z")  # a doc_id with several sets
+    ties = known.join(several, "doc_id").where("fp <> a").select("a", F.col("fp").alias("b"))
+    groups = components(links.unionByName(ties), "join-links")
+    named = groups.join(reps, F.col("fp") == F.col("node")).select("fp", "rep", "component")
+    names = named.groupBy("component").agg(F.min("rep").alias("least"))
+    named = named.join(names, "component").select("fp", "least")
+    named = reps.join(named, "fp", "left").select("fp", F.coalesce("least", "rep").alias("least"))
+    out = sets.join(named, "fp", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
