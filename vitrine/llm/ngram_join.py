@@ -426,7 +426,8 @@ def _placed(
 def _links(placed: DataFrame, texts: DataFrame, words: int, least: tuple[int, int], partitions: int) -> DataFrame:
     """Links (a, b) of the placed sets that hold every group together; every pair of chunks of a unit
     is searched by itself."""
-    rows = texts.join(placed, "doc_id").select("unit", "i", "j", "chunk", "fp", "inner", "text")
+    # both sides grow with the table: the same join at every size
+    rows = texts.join(placed.hint("merge"), "doc_id").select("unit", "i", "j", "chunk", "fp", "inner", "text")
     key = ["unit", "i", "j"]
 
     def solve(unit: list[tuple]) -> list[tuple[int, int]]:
