@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import shared_dir, text_bytes, write_table
+from vitrine.llm.common import lean, shared_dir, text_bytes, write_table
 from vitrine.sources.tables import table
 
 #: Field names of the two header lines, as the version blocks of the two formats state them.
@@ -208,7 +208,7 @@ def write_archives(pages: DataFrame, directory: str, version: int = 1) -> DataFr
     marked = pages.select("page_id", "url", text_bytes("html").alias("html"), digest).join(
         revisits(pages), ["page_id", "digest"], "left"
     )
-    manifest = marked.select("page_id", "url", "html", "refers_to").mapInArrow(write, "uri string, records long")
+    manifest = marked.select("page_id", "url", "html", "refers_to").mapInArrow(lean(write), "uri string, records long")
     return write_table(manifest, "warc-manifest")
 
 
@@ -244,7 +244,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     tasks = max(1, min(manifest.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return manifest.select("uri").repartition(tasks).mapInArrow(read, schema)
+    return manifest.select("uri").repartition(tasks).mapInArrow(lean(read), schema)
 
 
 def op1_arc_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

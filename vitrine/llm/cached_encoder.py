@@ -109,3 +109,8 @@ def encoder(path: str, drops_space: bool, remember: int = CACHE_ENTRIES) -> Cach
     if key not in _ENCODERS:
         _ENCODERS[key] = CachedEncoder(*key)
     return _ENCODERS[key]
+
+
+def forget_encoders() -> None:
+    """Give up this worker's encoders, whose memory other stages need."""
+    _ENCODERS.clear()

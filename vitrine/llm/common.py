@@ -2,35 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators.graph import components  # noqa: F401
-
-
-def shared_dir(spark: SparkSession, tag: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which the driver and all executors see.
-
-    Only where the setting is missing (tests on one machine) a temporary folder stands in.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="vitrine-")
-    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
-def write_table(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = shared_dir(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from vitrine.sources.shared import shared_dir, write_table  # noqa: F401
 
 
 def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
@@ -41,6 +22,20 @@ def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after whose last batch the worker gives unused memory back: it lives on, idle or in
+    other stages, beside the executor's JVM."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def text_bytes(column: str = "text") -> F.Column:
     """The UTF-8 bytes of a text column, empty for null."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))

@@ -12,8 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.cached_encoder import CACHE_ENTRIES, encoder
-from vitrine.llm.common import binary_views, slices, text_bytes
+from vitrine.llm.cached_encoder import CACHE_ENTRIES, encoder, forget_encoders
+from vitrine.llm.common import binary_views, lean, slices, text_bytes
 from vitrine.sources.tables import table
 
 SEQUENCE, END_ID = 1024, 0
@@ -91,13 +91,15 @@ def pack_documents(
     end_id: int = END_ID,
     partitions: int | None = None,
     remember: int = CACHE_ENTRIES,
+    live_on: bool = True,
 ) -> DataFrame:
     """Pieces of documents in sequences of ``length``: doc_id, start, length, ids (binary, unsigned
     16-bit), ids_crc32, doc_tokens, sequence_id, offset.
 
     Documents are range-sorted by (Hilbert key, doc_id), so many documents with one key still go to
     many tasks, and each task cuts its stretch of the curve every ``length`` ids; only the last
-    sequence of a task is shorter and would be padded. Null and empty texts are the end id alone;
+    sequence of a task is shorter and would be padded. A worker remembers up to ``remember`` chunks, for
+    its next tasks too where ``live_on``. Null and empty texts are the end id alone;
     repeated rows and null doc_ids are packed like any other; an empty table gives no pieces; other
     columns are ignored.
     """
@@ -134,12 +136,15 @@ def pack_documents(
                     [pa.array(x, pa.binary() if k == 3 else pa.int64()) for k, x in enumerate(zip(*rows, strict=True))],
                     names=["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
                 )
+        if not live_on:
+            del code
+            forget_encoders()
 
-    keys = docs.select("doc_id", text_bytes().alias("text")).mapInArrow(keyed, "doc_id long, text binary, curve_key long")
+    keys = docs.select("doc_id", text_bytes().alias("text")).mapInArrow(lean(keyed), "doc_id long, text binary, curve_key long")
     order = ["curve_key", "doc_id"]
     ordered = keys.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
     schema = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return ordered.mapInArrow(pack, schema)
+    return ordered.mapInArrow(lean(pack), schema)
 
 
 def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import text_bytes
+from vitrine.llm.common import lean, text_bytes
 from vitrine.sources.tables import table
 
 _TAG = re.compile(
@@ -246,7 +246,7 @@ def extract(pages: DataFrame) -> DataFrame:
             )
 
     sent = pages.select("page_id", "url", text_bytes("html").alias("html"))
-    return sent.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return sent.mapInArrow(lean(run), "page_id long, url string, text string, n_chars long")
 
 
 def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import components, mix64, write_table
+from vitrine.llm.common import components, lean, mix64, write_table
 from vitrine.sources.tables import table
 
 LEAST = 0.9
@@ -130,7 +130,7 @@ def clean_vectors(embeddings: DataFrame) -> DataFrame:
             )
 
     sent = embeddings.where("vec_id is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    return sent.mapInArrow(run, "vec_id long, embedding array<double>, dim int")
+    return sent.mapInArrow(lean(run), "vec_id long, embedding array<double>, dim int")
 
 
 def _cell_rows(vectors: DataFrame, tables: int, blocks: int, count: int, scale: float) -> DataFrame:
@@ -147,7 +147,7 @@ def _cell_rows(vectors: DataFrame, tables: int, blocks: int, count: int, scale:
                         [pa.array(keys.reshape(-1).astype(np.int64)), batch.column(0).take(again)], names=["cell", "vec_id"]
                     )
 
-    return vectors.mapInArrow(run, "cell long, vec_id long")
+    return vectors.mapInArrow(lean(run), "cell long, vec_id long")
 
 
 def _forest(close: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,7 +223,7 @@ def near_links(vectors: DataFrame, least: float, tables: int, blocks: int, count
                 found = []
         yield _edges(found)
 
-    return sent.repartition(n, "cell", "i", "j").sortWithinPartitions("cell", "i", "j", "vec_id").mapInArrow(run, "a long, b long")
+    return sent.repartition(n, "cell", "i", "j").sortWithinPartitions("cell", "i", "j", "vec_id").mapInArrow(lean(run), "a long, b long")
 
 
 def _edges(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -256,7 +256,7 @@ def _count_links(vectors: DataFrame, groups: DataFrame, least: float) -> DataFra
 
     placed = members.join(hubs, F.col("component") == F.col("hub")).select("vec_id", "embedding", "dim", "component", "hub_embedding")
     placed = write_table(
-        placed.mapInArrow(shell, "vec_id long, embedding array<double>, dim int, component long, outer boolean"), "lattice-members"
+        placed.mapInArrow(lean(shell), "vec_id long, embedding array<double>, dim int, component long, outer boolean"), "lattice-members"
     )
     counts = placed.groupBy("component").agg(F.count_if(~F.col("outer")).alias("inner"), F.count_if("outer").alias("others"))
     inside = placed.where(~F.col("outer")).join(counts, "component").select("vec_id", (F.col("inner") - 1).alias("k"))
@@ -276,7 +276,7 @@ def _count_links(vectors: DataFrame, groups: DataFrame, least: float) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(close.sum(axis=1).astype(np.int64))], names=["vec_id", "k"])
 
     key = ["component", "i", "j"]
-    across = units.repartition(n, *key).sortWithinPartitions(*key).mapInArrow(run, "vec_id long, k long")
+    across = units.repartition(n, *key).sortWithinPartitions(*key).mapInArrow(lean(run), "vec_id long, k long")
     return inside.unionByName(across).groupBy("vec_id").agg(F.sum("k").alias("n_links"))
 
 

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import binary_views, components, mix64, slices, text_bytes, write_table
+from vitrine.llm.common import binary_views, components, lean, mix64, slices, text_bytes, write_table
 from vitrine.llm.suffix_dedup import stretch_hash
 from vitrine.sources.tables import table
 
@@ -284,7 +284,7 @@ def set_summary(docs: DataFrame, words: int) -> DataFrame:
             n, p = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(p, mask=n == 0)], names=["doc_id", "n_shingles", "fp"])
 
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(run, "doc_id long, n_shingles long, fp long")
+    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(lean(run), "doc_id long, n_shingles long, fp long")
 
 
 def part_rows(docs: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
@@ -305,7 +305,7 @@ def part_rows(docs: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
                 keys, sets = part_keys(gram[np.repeat(fresh, n)], np.cumsum(np.where(fresh, n, 0)), least)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints[sets])], names=["key", "fp"])
 
-    return docs.where("doc_id is not null").select(text_bytes().alias("text")).mapInArrow(run, "key long, fp long")
+    return docs.where("doc_id is not null").select(text_bytes().alias("text")).mapInArrow(lean(run), "key long, fp long")
 
 
 def _squeezed(docs: DataFrame) -> DataFrame:
@@ -316,7 +316,7 @@ def _squeezed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], names=["doc_id", "text"])
 
     known = docs.where("doc_id is not null").select("doc_id", text_bytes().alias("text"))
-    return known.mapInArrow(run, "doc_id long, text binary")
+    return known.mapInArrow(lean(run), "doc_id long, text binary")
 
 
 def _set_of(text: bytes, words: int, press: zstandard.ZstdDecompressor) -> tuple[int, np.ndarray]:
@@ -382,7 +382,7 @@ def _to_pivots(large: DataFrame, mine: DataFrame, texts: DataFrame, words: int,
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     both = rows.join(chosen, "component").select("fp", "text", "pivot", "pivot_text")
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def _placed(
@@ -468,7 +468,7 @@ def _links(placed: DataFrame, texts: DataFrame, words: int, least: tuple[int, in
         a, b = zip(*out, strict=True) if out else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.repartition(partitions, *key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
+    return rows.repartition(partitions, *key).sortWithinPartitions(*key).mapInArrow(lean(run), "a long, b long")
 
 
 def similarity_groups(

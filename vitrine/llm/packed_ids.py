@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitrine.llm.cached_encoder import encoder
-from vitrine.llm.common import shared_dir, text_bytes, write_table
+from vitrine.llm.common import lean, shared_dir, text_bytes, write_table
 from vitrine.sources.tables import table
 
 MAGIC = b"VIDS0001"
@@ -209,7 +209,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 )
 
     tasks = max(1, min(manifest.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return based.repartition(tasks).mapInArrow(read, schema)
+    return based.repartition(tasks).mapInArrow(lean(read), schema)
 
 
 def op3_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import write_table
+from vitrine.llm.common import lean, write_table
 from vitrine.llm.lattice_dedup import _per_unit, clean_vectors, matrix
 from vitrine.sources.tables import table
 
@@ -186,7 +186,7 @@ def nearest(
         return run
 
     entry = "list int, vec_id long, embedding array<double>"
-    posted = vectors.mapInArrow(lists_of(copy_ratio, 1, copies, False), entry)
+    posted = vectors.mapInArrow(lean(lists_of(copy_ratio, 1, copies, False)), entry)
     posted = write_table(posted, "ann-postings")
     chunks = posted.groupBy("list").agg(F.count("*").alias("m")).select("list", F.ceil(F.col("m") / CHUNK).cast("int").alias("cut"))
     asked = vectors.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
@@ -215,7 +215,7 @@ def nearest(
                 score = (who[i + r] * cand[c]).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i + r]), pa.array(cand_names[c]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    found = both.repartition(n, "list", "chunk").sortWithinPartitions("list", "chunk").mapInArrow(scan, "query_id long, vec_id long, score double")
+    found = both.repartition(n, "list", "chunk").sortWithinPartitions("list", "chunk").mapInArrow(lean(scan), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import binary_views, slices
+from vitrine.llm.common import binary_views, lean, slices
 from vitrine.sources.tables import table
 
 #: Longest context in bytes; n-grams of ORDER + 1 = 4 bytes make one unsigned 32-bit key.
@@ -72,7 +72,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                         [pa.array([lang] * len(gram)), pa.array(gram.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"]
                     )
 
-    found = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(count, "lang string, gram long, n long")
+    found = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(lean(count), "lang string, gram long, n long")
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -145,11 +145,22 @@ class PpmModel:
         self.pair = np.full(1 << 16, len(pairs), np.int32)
         self.pair[pairs] = np.arange(len(pairs))
         self.side = len(pairs) + 1
+        self._place()
+        self.known = np.ascontiguousarray(self.bits(keys).T.astype(np.float32))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "row"}  # most of it empty: made anew where it is needed
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._place()
+
+    def _place(self) -> None:
+        keys = self.keys[ORDER]
         self.row = None
         if self.side * self.side <= self.cells:
             self.row = np.full(self.side * self.side, -1, np.int32)
             self.row[self.pair[keys >> np.uint32(16)] * self.side + self.pair[keys & np.uint32(0xFFFF)]] = np.arange(len(keys))
-        self.known = np.ascontiguousarray(self.bits(keys).T.astype(np.float32))
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text (n x languages)."""
@@ -214,8 +225,14 @@ def training_pieces(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFram
     first = F.array_min(F.transform(pieces, place))
     totals = usable.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.min(first).alias("first")).collect()
     share = min(train_bytes, max(ALL_BYTES // max(len(totals), 1), LEAST_BYTES))
-    rows = [(r["lang"], float(share / r["bytes"] * (1 << 30)), r["first"]) for r in totals]
-    rates = docs.sparkSession.createDataFrame(rows, "lang string, below double, first long")
+    # as an Arrow table, which needs no Python worker of another kind
+    rates = docs.sparkSession.createDataFrame(
+        pa.table({
+            "lang": pa.array([r["lang"] for r in totals], pa.string()),
+            "below": pa.array([float(share / r["bytes"] * (1 << 30)) for r in totals], pa.float64()),
+            "first": pa.array([r["first"] for r in totals], pa.int64()),
+        })
+    )
     placed = usable.join(F.broadcast(rates), "lang")
     kept = F.filter(pieces, lambda i: (place(i) < F.col("below")) | (place(i) == F.col("first")))
     cut = F.transform(kept, lambda i: F.substring(F.col("text"), i * PIECE + 1, F.lit(PIECE)))
@@ -275,7 +292,7 @@ def _classified(docs: DataFrame, classify) -> DataFrame:
     raw = "__text_bytes"
     sent = docs.withColumn(raw, F.col("text").cast("binary"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return sent.mapInArrow(classify, f"{fields}, lang_pred string, score double, bits_per_byte double")
+    return sent.mapInArrow(lean(classify), f"{fields}, lang_pred string, score double, bits_per_byte double")
 
 
 def op8_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:

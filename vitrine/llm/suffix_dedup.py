@@ -16,14 +16,13 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.common import binary_views, mix64, slices, text_bytes, write_table
+from vitrine.llm.common import binary_views, lean, mix64, slices, text_bytes, write_table
 from vitrine.sources.tables import table
 
 LENGTH, GRAM = 200, 32
@@ -243,7 +242,7 @@ def _keyed(docs: DataFrame, squeezed: bool = False, carry: Sequence[str] = ()) -
     the carried columns."""
     th = F.shiftrightunsigned(F.xxhash64(text_bytes()), 32).alias("th")
     found = docs.select("doc_id", th, text_bytes().alias("text"), *(F.col(c) for c in carry))
-    return found.mapInArrow(_squeeze, found.schema) if squeezed else found
+    return found.mapInArrow(lean(_squeeze), found.schema) if squeezed else found
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +268,7 @@ def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     names=names,
                 )
 
-    return _keyed(docs).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return _keyed(docs).mapInArrow(lean(run), ", ".join(f"{n} long" for n in names))
 
 
 def _same_row(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
@@ -300,7 +299,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 [pa.array(c, pa.binary() if k == "seg" else pa.int64()) for k, c in zip(names, out, strict=True)], names=names
             )
 
-    return joined.mapInArrow(run, ", ".join(f"{k} {'binary' if k == 'seg' else 'long'}" for k in names))
+    return joined.mapInArrow(lean(run), ", ".join(f"{k} {'binary' if k == 'seg' else 'long'}" for k in names))
 
 
 def _sorted_groups(segments: DataFrame, length: int, partitions: int) -> DataFrame:
@@ -340,7 +339,7 @@ def _sorted_groups(segments: DataFrame, length: int, partitions: int) -> DataFra
             yield solve(held)
 
     placed = segments.repartition(partitions, "kh").sortWithinPartitions("kh", "sh")
-    return placed.select("kh", "sh", "n", "off", "span", "seg").mapInArrow(run, out)
+    return placed.select("kh", "sh", "n", "off", "span", "seg").mapInArrow(lean(run), out)
 
 
 def _offset_keys(blocks: DataFrame, width: int, length: int) -> DataFrame:
@@ -364,7 +363,7 @@ def _offset_keys(blocks: DataFrame, width: int, length: int) -> DataFrame:
                 keys.append(stretch_hash(data[::-1], len(data) - end, len(data) - start) + mark)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x.astype(np.int64)) for x in keys)], names=names)
 
-    return blocks.mapInArrow(run, f"{blocks.schema.simpleString()[7:-1]},w1:long,w2:long,s1:long,s2:long".replace(":", " "))
+    return blocks.mapInArrow(lean(run), f"{blocks.schema.simpleString()[7:-1]},w1:long,w2:long,s1:long,s2:long".replace(":", " "))
 
 
 def _by_narrowing(segments: DataFrame, length: int) -> DataFrame:
@@ -445,10 +444,11 @@ def merge(ranges: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, carry: Sequence[str] = ()
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, carry: Sequence[str] = (), whole_characters: bool = False
 ) -> DataFrame:
     """doc_id, spans (removed runs of bytes: array of struct start, end), kept (remaining bytes),
-    n_bytes, and the columns named by ``carry`` as they are.
+    n_bytes, and the columns named by ``carry`` as they are. With ``whole_characters`` the bytes of
+    characters that a cut went through are no longer in ``kept``.
 
     Null text is empty and, like any text below ``length`` bytes, loses nothing. A string that
     overlaps itself counts, as does a repeated row, which loses every string it has. Rows of equal
@@ -470,23 +470,14 @@ def remove_repeats(
                 text = press.decompress(text)
                 gone = merge(ranges)
                 edges = [0, *[x for pair in gone for x in pair], len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                kept.append(left.decode("utf-8", "ignore").encode() if whole_characters else left)
                 spans.append([{"start": a, "end": b} for a, b in gone])
                 sizes.append(len(text))
             made = [pa.array(spans, pairs), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made, *batch.columns[3:]], names=schema.names)
 
-    return joined.mapInArrow(run, schema)
-
-
-def whole_characters(kept: Column) -> Column:
-    """Remaining bytes as text; a character that a cut went through is dropped."""
-
-    @F.pandas_udf("string")
-    def decode(column: pd.Series) -> pd.Series:
-        return column.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
-    return decode(kept)
+    return joined.mapInArrow(lean(run), schema)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
