@@ -45,8 +45,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Cut characters go whole: bytes that no longer make one are dropped."""
     bounded_batches(spark)
-    kept = suffix_dedup.remove_repeats(docs, carry=["lang", "source"])
-    kept = kept.withColumn("text", suffix_dedup.whole_characters(F.col("kept"))).where("text <> ''")
+    kept = suffix_dedup.remove_repeats(docs, carry=["lang", "source"], whole_characters=True)
+    kept = kept.withColumn("text", F.col("kept").cast("string")).where("text <> ''")
     return kept.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
@@ -65,7 +65,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as packed sequences of 1024 ids."""
     bounded_batches(spark)
-    return curve_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), remember=REMEMBER)
+    return curve_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), remember=REMEMBER, live_on=False)
 
 
 STAGES = [
