@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm.cached_encoder import CACHE_ENTRIES, encoder, forget_encoders
-from vitrine.llm.common import binary_views, lean, slices, text_bytes
+from vitrine.llm.common import binary_views, lean, mix64, slices, text_bytes
 from vitrine.sources.tables import table
 
 SEQUENCE, END_ID = 1024, 0
 DIMENSIONS, CURVE_BITS, FEATURE_BITS = 3, 10, 14
+#: Low bits of a key that do not count for the cells in which the curve is weighed (2 ** 18 cells).
+CELL_SHIFT = 12
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -52,26 +54,34 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-#: Random projection of hashed words: one array of directions per dimension.
+#: Random letters, and random projection of hashed words: one array of directions per dimension.
+_LETTERS = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64)
 _DIRECTIONS = np.random.default_rng(7).standard_normal((DIMENSIONS, 1 << FEATURE_BITS))
 
 
 def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Hilbert key of each text: every word's first six bytes are hashed to a feature, the features'
-    random directions averaged over the text, and the mean put on a grid around zero."""
+    """Hilbert key of each text: every word is hashed to a feature, the features' random directions
+    averaged over the text, and the mean put on a grid around zero."""
     begin, end = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
     n = len(begin)
-    body = np.concatenate([data[offsets[0] : offsets[-1]], np.zeros(8, np.uint8)])
-    first = np.zeros(len(body), bool)
-    first[1:] = body[:-1] <= 32
-    first[begin] = True
-    starts = np.flatnonzero(first[: end[-1]])
-    bounds = np.searchsorted(starts, np.append(begin, end[-1]))
+    body = data[offsets[0] : offsets[-1]]
+    inside = body > 32
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    first[begin[begin < end]] = inside[begin[begin < end]]  # a text begins a word, whatever stands before it
+    starts = np.flatnonzero(first)
+    bounds = np.searchsorted(starts, np.append(begin, len(body)))
     count = np.diff(bounds)
-    word = np.ndarray(len(body) - 7, "<u8", body, strides=(1,))[starts]
-    room = np.minimum(np.repeat(end, count) - starts, 6).astype(np.uint64)  # never beyond the text
-    word &= (np.uint64(1) << (room * np.uint64(8))) - np.uint64(1)
-    feature = ((word * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+    last = inside.copy()
+    last[:-1] &= ~inside[1:]
+    last[end[begin < end] - 1] = inside[end[begin < end] - 1]
+    ends = np.flatnonzero(last) + 1
+    room = np.minimum(ends - starts, 8).astype(np.uint64)
+    head = np.ndarray(len(body), "<u8", np.concatenate([body, np.zeros(8, np.uint8)]), strides=(1,))[starts]
+    head = head & (np.uint64(0xFFFFFFFFFFFFFFFF) >> ((np.uint64(8) - room) * np.uint64(8)))
+    sums = np.append(np.uint64(0), np.cumsum(_LETTERS[body], dtype=np.uint64))
+    word = mix64(head + sums[ends] - sums[starts])  # its first eight bytes and, in any order, all of them
+    feature = (word >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
     sums = np.zeros((n, DIMENSIONS))
     some = count > 0
     for d, direction in enumerate(_DIRECTIONS):
@@ -83,6 +93,22 @@ def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return hilbert_keys(cells, CURVE_BITS)
 
 
+def _stretches(keys: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cuts the curve into ``n`` stretches of about equal bytes: for every cell (of a fixed number of
+    cells) its first stretch, and the number of stretches that its documents are dealt to."""
+    bytes_ = F.octet_length("text").cast("long") + 16  # what a document weighs at least
+    cells = keys.groupBy(F.shiftright("curve_key", CELL_SHIFT).alias("cell")).agg(F.sum(bytes_).alias("w")).toArrow()
+    weight = np.zeros(1 << (DIMENSIONS * CURVE_BITS - CELL_SHIFT))
+    weight[np.asarray(cells.column("cell")).astype(np.int64)] = np.asarray(cells.column("w"))
+    share = max(weight.sum(), 1) / n
+    before = np.cumsum(weight) - weight
+    first = np.minimum((before / share).astype(np.int64), n - 1)
+    last = np.minimum(np.ceil((before + weight) / share).astype(np.int64), n)
+    # a cell of less than half a share is not cut
+    cut = np.where(weight > share / 2, np.maximum(last - first, 1), 1)
+    return first, cut
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer: str,
@@ -96,9 +122,10 @@ def pack_documents(
     """Pieces of documents in sequences of ``length``: doc_id, start, length, ids (binary, unsigned
     16-bit), ids_crc32, doc_tokens, sequence_id, offset.
 
-    Documents are range-sorted by (Hilbert key, doc_id), so many documents with one key still go to
-    many tasks, and each task cuts its stretch of the curve every ``length`` ids; only the last
-    sequence of a task is shorter and would be padded. A worker remembers up to ``remember`` chunks, for
+    The curve is cut into ranges of about equal bytes, one for each task; a cell of the curve that
+    weighs more than a range, such as many documents with one key, is dealt to several by doc_id. A
+    task sorts its range by (Hilbert key, doc_id) and cuts it every ``length`` ids; only its last
+    sequence is shorter and would be padded. A worker remembers up to ``remember`` chunks, for
     its next tasks too where ``live_on``. Null and empty texts are the end id alone;
     repeated rows and null doc_ids are packed like any other; an empty table gives no pieces; other
     columns are ignored.
@@ -140,9 +167,22 @@ def pack_documents(
             del code
             forget_encoders()
 
-    keys = docs.select("doc_id", text_bytes().alias("text")).mapInArrow(lean(keyed), "doc_id long, text binary, curve_key long")
-    order = ["curve_key", "doc_id"]
-    ordered = keys.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    sent = docs.select("doc_id", text_bytes().alias("text"))
+    keys = sent.mapInArrow(lean(keyed), "doc_id long, text binary, curve_key long")
+    first, cut = _stretches(keys, n)
+    table_ = spark.sparkContext.broadcast((first, cut))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, cut = table_.value
+        for batch in keyed(batches):
+            key = np.asarray(batch.column(2))
+            cell = key >> CELL_SHIFT
+            ids = np.asarray(batch.column(0).fill_null(0)).astype(np.uint64)
+            place = first[cell] + (mix64(ids ^ mix64(key.astype(np.uint64))) % cut[cell].astype(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place.astype(np.int32))], names=[*batch.schema.names, "place"])
+
+    placed = sent.mapInArrow(lean(dealt), "doc_id long, text binary, curve_key long, place int")
+    ordered = placed.repartitionById(n, "place").sortWithinPartitions("curve_key", "doc_id").select("doc_id", "text")
     schema = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return ordered.mapInArrow(lean(pack), schema)
 

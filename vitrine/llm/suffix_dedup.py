@@ -238,9 +238,9 @@ def _runs(starts: np.ndarray) -> list[int]:
 
 
 def _keyed(docs: DataFrame, squeezed: bool = False, carry: Sequence[str] = ()) -> DataFrame:
-    """doc_id, th (32 bits of a hash of the text; tells rows of equal doc_id apart), the text and
-    the carried columns."""
-    th = F.shiftrightunsigned(F.xxhash64(text_bytes()), 32).alias("th")
+    """doc_id, th (64-bit hash of the text; tells rows of equal doc_id apart), the text and the
+    carried columns."""
+    th = F.xxhash64(text_bytes()).alias("th")
     found = docs.select("doc_id", th, text_bytes().alias("text"), *(F.col(c) for c in carry))
     return found.mapInArrow(lean(_squeeze), found.schema) if squeezed else found
 
@@ -409,7 +409,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = _scan(docs, length, gram)
-    twice = found.select("kh").groupBy("kh").count().where("count >= 2").select("kh")
+    # written, so that the join reads both sides from shuffles and a hot gram can be dealt to many tasks
+    twice = write_table(found.select("kh").groupBy("kh").count().where("count >= 2").select("kh"), "suffix-grams")
     found = write_table(found.join(twice, "kh", "left_semi"), "suffix-anchors")
     kinds = found.groupBy("kh", "sh").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "place")).alias("rep"))
     kinds = write_table(kinds, "suffix-kinds")
