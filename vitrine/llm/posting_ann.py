@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +22,14 @@ from vitrine.llm.lattice_dedup import _per_unit, clean_vectors, matrix
 from vitrine.sources.tables import table
 
 NEIGHBOURS, EVERY = 20, 20
-#: Vectors that the index is fitted on, and lists at most (one per SAMPLE_PER_LIST of them).
-SAMPLE, SAMPLE_PER_LIST, MOST_LISTS = 8192, 128, 32
+#: Vectors that the index of one vector length is fitted on. Lists are the square root of the number of
+#: vectors, at most one for SAMPLE_PER_LIST of the sample.
+SAMPLE, SAMPLE_PER_LIST = 8192, 16
 #: Lists a vector may enter, and the distance ratio to its nearest centroid within which it does.
 COPIES, COPY_RATIO = 3, 1.03
-#: Distance ratio to its nearest centroid within which a query reads lists, and lists it reads anyway.
-QUERY_RATIO, LEAST_LISTS = 1.2, 8
+#: Share of the sample's own nearest neighbours that lists within the query's distance ratio must hold
+#: (the ratio is set by it), sample queries that are tried, and lists that a query reads anyway.
+AIM, TRIALS, LEAST_LISTS = 0.96, 512, 3
 GRAPH_DEGREE, BEAM = 8, 12
 #: Vectors of a list that one task holds; longer lists are cut by a hash of the vector's id.
 CHUNK = 4096
@@ -34,11 +37,14 @@ CHUNK = 4096
 
 @dataclass
 class Index:
-    """Centroids, their neighbour graph, and the largest norm (that the lift refers to)."""
+    """Centroids, their neighbour graph, the largest norm (that the lift refers to), and the distance
+    ratio and number of lists within which a query reads lists."""
 
     centroids: np.ndarray
     graph: np.ndarray
     norm: float
+    ratio: float = np.inf
+    most: int = 1 << 30
 
 
 def lift(x: np.ndarray, norm: float) -> np.ndarray:
@@ -131,45 +137,80 @@ def near_lists(index: Index, x: np.ndarray, ratio: float, least: int, most: int)
     return np.concatenate(rows), np.concatenate(lists)
 
 
-def fit(vectors: DataFrame) -> Index | None:
+def tuned(index: Index, sample: np.ndarray, k: int, copies: int, copy_ratio: float, aim: float = AIM) -> Index:
+    """``index`` with the distance ratio, and the number of lists, that find ``aim`` of the ``k`` nearest
+    of sample vectors among the sample."""
+    lifted = lift(sample, index.norm)
+    trial = np.flatnonzero(np.abs(sample).max(axis=1) > 0)[:TRIALS]
+    score = sample[trial] @ sample.T
+    score[np.arange(len(trial)), trial] = -np.inf
+    k = min(k, len(sample) - 1)
+    near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    row, list_ = near_lists(index, lifted, copy_ratio, 1, copies)
+    holds = np.zeros((len(sample), len(index.centroids)), bool)
+    holds[row, list_] = True
+    x = as_queries(sample[trial])
+    far = np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] - 2 * x @ index.centroids.T + (index.centroids**2).sum(axis=1), 0))
+    order = np.argsort(far, axis=1)
+    rank = np.argsort(order, axis=1)
+    first = np.where(holds[near], rank[:, None, :], len(index.centroids)).min(axis=2)  # of the nearest list that holds it
+    ratio = np.take_along_axis(far, np.take_along_axis(order, first, axis=1), axis=1) / np.maximum(far.min(axis=1), 1e-300)[:, None]
+    return Index(index.centroids, index.graph, index.norm, float(np.quantile(ratio, aim)), int(np.quantile(first, (1 + aim) / 2)) + 1)
+
+
+def fit(vectors: DataFrame, k: int = NEIGHBOURS, copies: int = COPIES, copy_ratio: float = COPY_RATIO) -> Index | None:
     """Fit the index on at most SAMPLE vectors, those of the smallest hashed ids."""
-    top = vectors.select(F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()["m"]
+    norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    total = vectors.agg(F.max(norm2).alias("m"), F.count("*").alias("n")).first()
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
     if not len(sample):
         return None
-    norm = float(np.sqrt(top)) if np.isfinite(top) else float("inf")
-    x = lift(matrix(sample), norm)
-    lists = max(1, min(MOST_LISTS, len(x) // SAMPLE_PER_LIST))
-    centroids = balanced_centroids(x, lists) if lists > 1 else x.mean(axis=0, keepdims=True)
-    return Index(centroids, neighbour_graph(centroids, GRAPH_DEGREE), norm)
+    sample = matrix(sample)
+    norm = float(np.sqrt(total["m"])) if np.isfinite(total["m"]) else float("inf")
+    x = lift(sample, norm)
+    lists = max(1, min(int(np.sqrt(total["n"])), len(x) // SAMPLE_PER_LIST))
+    if lists == 1:
+        return Index(x.mean(axis=0, keepdims=True), np.zeros((1, 1), np.int64), norm)
+    centroids = balanced_centroids(x, lists)
+    index = Index(centroids, neighbour_graph(centroids, GRAPH_DEGREE), norm)
+    # so many of the sample are as near as k of the table
+    return tuned(index, sample, max(1, -(-k * len(sample) // total["n"])), copies, copy_ratio)
 
 
 def nearest(
     embeddings: DataFrame,
     queries: DataFrame,
     k: int = NEIGHBOURS,
-    query_ratio: float = QUERY_RATIO,
+    query_ratio: float | None = None,
     copies: int = COPIES,
     copy_ratio: float = COPY_RATIO,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of ``queries`` (a part of ``embeddings``) its ``k``
-    nearest found among the other rows, by inner product of the original vectors.
+    nearest found among the other rows of equal length, by inner product of the original vectors.
 
-    Vectors that are null, empty, zero or hold null or non-finite components and rows without a
-    vec_id take no part; nor do vectors of another length than most have (the commonest length is
-    searched). Of rows that repeat a vec_id the first in order of components counts. Ties go to the
-    smaller vec_id. Other columns are ignored; an empty table gives no rows.
+    Lists are read within ``query_ratio``, or within what ``tuned`` sets. Vectors that are null,
+    empty, zero or hold null or non-finite components and rows without a vec_id take no part. Each
+    length of vectors has its own index. Of rows that repeat a vec_id the first by length and
+    components counts. Ties go to the smaller vec_id. Other columns are ignored; an empty table gives
+    no rows.
     """
     spark = embeddings.sparkSession
+    clean = clean_vectors(embeddings).groupBy("vec_id").agg(F.min(F.struct("dim", "embedding")).alias("v"))
+    vectors = write_table(clean.select("vec_id", "v.dim", "v.embedding"), "ann-vectors")
+    dims = [r["dim"] for r in vectors.select("dim").distinct().orderBy("dim").collect()]
+    found = [_nearest_of(vectors.where(F.col("dim") == d).select("vec_id", "embedding"), queries, k, query_ratio, copies, copy_ratio) for d in dims]
+    if not found:
+        return vectors.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
+    return reduce(DataFrame.unionAll, found)
+
+
+def _nearest_of(vectors: DataFrame, queries: DataFrame, k: int, query_ratio: float | None, copies: int, copy_ratio: float) -> DataFrame:
+    """``nearest`` among vectors of one length."""
+    spark = vectors.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    clean = clean_vectors(embeddings).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    vectors = write_table(clean.withColumn("dim", F.size("embedding")), "ann-vectors")
-    dim = vectors.groupBy("dim").count().orderBy(F.col("count").desc(), "dim").first()
-    vectors = vectors.where(F.col("dim") == (dim["dim"] if dim else 0)).select("vec_id", "embedding")
-    index = fit(vectors)
-    out = "query_id long, rank int, vec_id long, score double"
-    if index is None:
-        return spark.createDataFrame([], out)
+    index = fit(vectors, k, copies, copy_ratio)
+    ratio = query_ratio or index.ratio
+    most = min(len(index.centroids), index.most if query_ratio is None else len(index.centroids))
     shared = spark.sparkContext.broadcast(index)
 
     def lists_of(ratio: float, least: int, most: int, query: bool):
@@ -190,7 +231,7 @@ def nearest(
     posted = write_table(posted, "ann-postings")
     chunks = posted.groupBy("list").agg(F.count("*").alias("m")).select("list", F.ceil(F.col("m") / CHUNK).cast("int").alias("cut"))
     asked = vectors.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
-    asked = asked.mapInArrow(lists_of(query_ratio, LEAST_LISTS, len(index.centroids), True), entry).join(chunks, "list")
+    asked = asked.mapInArrow(lists_of(ratio, LEAST_LISTS, max(most, LEAST_LISTS), True), entry).join(chunks, "list")
     asked = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
     posted = posted.join(chunks, "list").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("cut")).cast("int"))
     both = posted.select("list", "chunk", F.lit(False).alias("query"), "vec_id", "embedding").unionByName(
