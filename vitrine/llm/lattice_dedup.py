@@ -233,7 +233,8 @@ def _edges(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 
 def _count_links(vectors: DataFrame, groups: DataFrame, least: float) -> DataFrame:
-    """vec_id, n_links within the components ``groups`` (node, component).
+    """vec_id, n_links within the components ``groups`` (node, component), where a vector counts ``m``
+    times.
 
     A component's vectors within half the linking angle of its first vector all link with each
     other and are counted by their number; only pairs with one of the others are multiplied."""
@@ -252,16 +253,17 @@ def _count_links(vectors: DataFrame, groups: DataFrame, least: float) -> DataFra
                     some = pa.array(np.flatnonzero(dims == dim))
                     x, h = (_unit(matrix(batch.column(k).take(some))) for k in (1, 4))
                     near[np.asarray(some)] = (x * h).sum(axis=1) >= half
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(~near)], names=["vec_id", "embedding", "dim", "component", "outer"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], batch.column(5), pa.array(~near)], names=["vec_id", "embedding", "dim", "component", "m", "outer"])
 
-    placed = members.join(hubs, F.col("component") == F.col("hub")).select("vec_id", "embedding", "dim", "component", "hub_embedding")
+    placed = members.join(hubs, F.col("component") == F.col("hub")).select("vec_id", "embedding", "dim", "component", "hub_embedding", "m")
     placed = write_table(
-        placed.mapInArrow(lean(shell), "vec_id long, embedding array<double>, dim int, component long, outer boolean"), "lattice-members"
+        placed.mapInArrow(lean(shell), "vec_id long, embedding array<double>, dim int, component long, m long, outer boolean"), "lattice-members"
     )
-    counts = placed.groupBy("component").agg(F.count_if(~F.col("outer")).alias("inner"), F.count_if("outer").alias("others"))
-    inside = placed.where(~F.col("outer")).join(counts, "component").select("vec_id", (F.col("inner") - 1).alias("k"))
+    counts = placed.groupBy("component").agg(F.sum(F.when(~F.col("outer"), F.col("m"))).alias("inner"), F.count_if("outer").alias("others"))
+    inside = placed.where(~F.col("outer")).join(counts, "component").select("vec_id", (F.col("inner") - F.col("m")).alias("k"))
     open_ = placed.join(counts.where("others > 0").select("component"), "component", "left_semi")
-    units = _units(open_, "component", CHUNK).select("component", "unit.i", "unit.j", "chunk", "vec_id", "outer", "embedding")
+    units = _units(open_.withColumnRenamed("m", "weight"), "component", CHUNK)
+    units = units.select("component", "unit.i", "unit.j", "chunk", "vec_id", "outer", "embedding", "weight")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in _per_unit(batches, 3):
@@ -273,7 +275,7 @@ def _count_links(vectors: DataFrame, groups: DataFrame, least: float) -> DataFra
             np.fill_diagonal(close, False)
             if i != j:
                 close &= chunk[:, None] != chunk[None, :]
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(close.sum(axis=1).astype(np.int64))], names=["vec_id", "k"])
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(close @ np.asarray(unit.column(7)))], names=["vec_id", "k"])
 
     key = ["component", "i", "j"]
     across = units.repartition(n, *key).sortWithinPartitions(*key).mapInArrow(lean(run), "vec_id long, k long")
@@ -291,19 +293,31 @@ def near_duplicates(
     """vec_id, n_links, component_id, kept of every row.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows without a
-    vec_id, link with nothing; vectors of different length never link. Rows that repeat a vec_id
-    are taken as one vector, their first in order of components. Other columns are ignored; an
-    empty table gives no rows.
+    vec_id, link with nothing; vectors of different length never link. Equal vectors are one, which
+    counts as often as it occurs. Rows of equal vec_id are one vector, whose links add up if they
+    differ; n_links then counts the links of its first vector by length and components. Other columns
+    are ignored; an empty table gives no rows.
     """
-    clean = clean_vectors(embeddings)
-    vectors = clean.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("dim", F.size("embedding"))
-    vectors = write_table(vectors, "lattice-vectors")
-    groups = components(near_links(vectors, least, tables, blocks, count, scale), "lattice-groups")
-    groups = write_table(groups, "lattice-components")
-    links = _count_links(vectors, groups, least)
-    out = embeddings.select("vec_id").join(groups, F.col("vec_id") == F.col("node"), "left").drop("node")
-    out = out.join(links, "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
+    clean = clean_vectors(embeddings).withColumn("x", F.xxhash64("embedding")).withColumn("y", F.xxhash64(F.lit(1), "embedding"))
+    clean = write_table(clean.dropDuplicates(["vec_id", "x", "y"]), "lattice-clean")
+    same = clean.groupBy("x", "y").agg(F.min(F.struct("vec_id", "embedding", "dim")).alias("v"), F.count("*").alias("m"))
+    same = write_table(same.select("x", "y", "v.vec_id", "v.embedding", "v.dim", "m"), "lattice-vectors")
+    # one number for each different vector; a vec_id may have several
+    vectors = same.select(F.xxhash64("x", "y").alias("vec_id"), "embedding", "dim", "m")
+    links = near_links(vectors.drop("m"), least, tables, blocks, count, scale)
+    groups = write_table(components(links, "lattice-groups"), "lattice-components")
+    counted = _count_links(vectors, groups, least).withColumnRenamed("vec_id", "u")
+    named = same.select("x", "y", "vec_id", "m", F.xxhash64("x", "y").alias("u")).join(groups, F.col("u") == F.col("node"), "left").drop("node")
+    leasts = named.where("component is not null").groupBy("component").agg(F.min("vec_id").alias("least"))
+    named = named.join(leasts, "component", "left").join(counted, "u", "left")
+    named = named.select("x", "y", (F.coalesce("n_links", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("least", "vec_id").alias("component"))
+    found = clean.select("vec_id", "dim", "embedding", "x", "y").join(named, ["x", "y"])
+    found = write_table(found.groupBy("vec_id").agg(
+        F.min(F.struct("dim", "embedding", "n_links")).alias("first"), F.min("component").alias("a"), F.max("component").alias("z")
+    ).select("vec_id", F.col("first.n_links").alias("n_links"), "a", "z"), "lattice-found")
+    ties = components(found.where("a <> z").select("a", F.col("z").alias("b")), "lattice-ties")
+    out = embeddings.select("vec_id").join(found, "vec_id", "left").join(ties, F.col("a") == F.col("node"), "left")
+    component = F.coalesce("component", "a", "vec_id")
     return out.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
