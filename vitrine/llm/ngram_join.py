@@ -356,10 +356,9 @@ def _chunked(units: DataFrame, block: int, grams: int) -> DataFrame:
     return placed.select("unit", "pair.i", "pair.j", "chunk", "doc_id", "fp", "inner")
 
 
-def _to_pivots(large: DataFrame, mine: DataFrame, texts: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
-    """Links (a, b) of the sets of each component with its pivot, the set that meets most others."""
-    score = mine.groupBy("component", "fp").agg(F.sum("n").alias("s"))
-    pivots = score.groupBy("component").agg(F.max(F.struct("s", "fp")).alias("top")).select("component", F.col("top.fp").alias("pivot"))
+def _to_pivots(large: DataFrame, score: DataFrame, texts: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
+    """Links (a, b) of the sets of each component with its pivot, the set that meets most others (``score``: fp, s)."""
+    pivots = score.join(large.select("fp", "component"), "fp").groupBy("component").agg(F.max(F.struct("s", "fp")).alias("top")).select("component", F.col("top.fp").alias("pivot"))
     rows = texts.join(large, "doc_id").select("component", "fp", "text")
     chosen = rows.join(pivots, "component").where("fp = pivot").select("component", "pivot", F.col("text").alias("pivot_text"))
     num, den = least
@@ -404,9 +403,13 @@ def _placed(
     large = sized.where(~fits).select(*sets, "component")
     if large.isEmpty():
         return _chunked(small, block, grams), None
-    mine = write_table(kept.join(large.select("fp", "component"), "fp"), "join-large")
-    pivoted = write_table(_to_pivots(large, mine, texts, words, least), "join-pivots")
-    group = pivoted.select(F.col("b").alias("fp"), F.col("a").alias("pivot")).unionByName(pivoted.select(F.col("a").alias("fp"), F.col("a").alias("pivot")).distinct())
+    pivoted = write_table(_to_pivots(large, kept.groupBy("fp").agg(F.sum("n").alias("s")), texts, words, least), "join-pivots")
+    centre = F.col("a").alias("pivot")
+    group = pivoted.select(F.col("b").alias("fp"), centre).unionByName(pivoted.select(F.col("a").alias("fp"), centre).distinct())
+    # only keys that a set which is not joined has
+    outer = large.select("fp").join(group.select("fp"), "fp", "left_anti")
+    touched = kept.select("key", "fp").join(outer, "fp").select("key").distinct()
+    mine = write_table(kept.select("key", "fp").join(touched, "key", "left_semi"), "join-large")
     mine = mine.join(group, "fp", "left").withColumn("group", F.coalesce("pivot", "fp"))
     keys = mine.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("who"), F.min("group").alias("x"), F.max("group").alias("y"), F.min("fp").alias("first")
