@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from vitrine.plans import graphs, publishing, relational, resolution, rules, scalars  # noqa: F401
+from vitrine.plans import files, graphs, parsing, publishing, relational, resolution, rules, scalars  # noqa: F401
 from vitrine.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401
