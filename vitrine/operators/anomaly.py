@@ -31,15 +31,15 @@ def tails(df: DataFrame, feature: str) -> DataFrame:
 
 def ecod(df: DataFrame, key: str, features: list[str]) -> DataFrame:
     """key, score, driver: per feature the largest of the left, right and skew-chosen tail
-    (negative logarithms), summed; the driver is the feature that adds most."""
+    (negative logarithms), summed; the driver is the feature that adds most. A null feature adds 0."""
     skews = df.agg(*[F.skewness(f).alias(f"skew_{f}") for f in features]).withColumn("one", F.lit(1))
     out = df.select(key, *features, F.lit(1).alias("one")).join(skews, "one")
     for f in features:
-        sides = tails(df, f).toDF(f, f"left_{f}", f"right_{f}")
-        out = out.join(sides, f)
+        sides = tails(df.where(F.col(f).isNotNull()), f).toDF("value", f"left_{f}", f"right_{f}")
+        out = out.join(sides, F.col(f) == F.col("value"), "left").drop("value")
         left, right = -F.log(f"left_{f}"), -F.log(f"right_{f}")
         chosen = F.when(F.col(f"skew_{f}") < 0, left).otherwise(right)
-        out = out.withColumn(f"o_{f}", F.greatest(left, right, chosen)).drop(f"left_{f}", f"right_{f}")
+        out = out.withColumn(f"o_{f}", F.coalesce(F.greatest(left, right, chosen), F.lit(0.0))).drop(f"left_{f}", f"right_{f}")
     total = reduce(lambda a, b: a + b, [F.col(f"o_{f}") for f in features])
     most = F.array_max(F.array(*[F.struct(F.col(f"o_{f}").alias("o"), F.lit(f).alias("f")) for f in features]))
     return out.select(key, total.alias("score"), most["f"].alias("driver"))

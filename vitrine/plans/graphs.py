@@ -92,19 +92,19 @@ def shared_admin_edges(t):
     return shared_member_pairs(links(t), "cui", "id", 2, 25)
 
 
-_BIPARTITE = """e AS (SELECT DISTINCT l_partkey * 2 AS a, l_orderkey * 2 + 1 AS b FROM lineitem WHERE l_quantity = 50),
+_BIPARTITE = """e AS (SELECT DISTINCT l_partkey * 2 AS a, l_orderkey * 2 + 1 AS b FROM lineitem),
     s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-    r(x, y) AS (SELECT a, a FROM s UNION SELECT r.x, s.b FROM r JOIN s ON r.y = s.a), comp AS (SELECT x AS node, min(y) AS component FROM r GROUP BY 1)"""
+    comp(node, component) USING KEY (node) AS (SELECT DISTINCT a, a FROM s UNION
+      (SELECT s.b, min(c.component) FROM comp c JOIN s ON s.a = c.node JOIN recurring.comp k ON k.node = s.b WHERE c.component < k.component GROUP BY s.b))"""
 
 
 def _bipartite(t):
-    rows = t("lineitem").where("l_quantity = 50")
-    return rows.select((F.col("l_partkey") * 2).alias("a"), (F.col("l_orderkey") * 2 + 1).alias("b")).distinct()
+    return t("lineitem").select((F.col("l_partkey") * 2).alias("a"), (F.col("l_orderkey") * 2 + 1).alias("b")).distinct()
 
 
 @query(f"WITH RECURSIVE {_BIPARTITE} SELECT node, component FROM comp")
 def connected_components(t):
-    """Components of the part-order graph of full lots (ER-07, GR-06)."""
+    """Components of the part-order graph (ER-07, GR-06)."""
     return components(_bipartite(t), "rings").select("node", "component")
 
 
@@ -120,7 +120,7 @@ def ring_summary(t):
 @query(f"""WITH RECURSIVE {_BIPARTITE}, z AS (SELECT component, count(*) AS size FROM comp GROUP BY 1)
     SELECT component, size, CAST(row_number() OVER (ORDER BY size DESC, component) AS INT) AS number FROM z ORDER BY number LIMIT 100""")
 def component_numbering(t):
-    """The hundred largest components numbered by size (WN-10, TK-11)."""
+    """The hundred largest components numbered by size (WN-10)."""
     size = components(_bipartite(t), "rings").groupBy("component").agg(F.count("*").alias("size"))
     top = size.orderBy(F.col("size").desc(), "component").limit(100)
     return top.withColumn("number", F.row_number().over(Window.orderBy(F.col("size").desc(), "component")))
@@ -144,6 +144,7 @@ def node_degrees(t):
 
 @query()
 def bridge_firms(t):
-    """Nodes whose loss splits their ring (GR-08); held against removal of every node in the tests."""
-    edges = _bipartite(t)
+    """Nodes of the part-order graph of full lots whose loss splits their ring (GR-08)."""
+    lots = t("lineitem").where("l_quantity = 50")
+    edges = lots.select((F.col("l_partkey") * 2).alias("a"), (F.col("l_orderkey") * 2 + 1).alias("b")).distinct()
     return articulation_points(edges, components(edges, "rings"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "vitrine", **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="vitrine-"))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
