@@ -47,6 +47,11 @@ _OTHER_WORDS = frozenset(
     "sharing social related recommended comment comments reply replies respond disqus discussion newsletter subscribe subscription "
     "popup modal overlay pagination pager login signin signup search form toolbar widget widgets skip copyright legal tags".split()
 )
+# Words that may stand beside one of those in a name of several parts that is still such a container's.
+_WRAPPER_WORDS = frozenset(
+    "area bar block body bottom box col column container content fixed footer global group header holder inner item items left link links "
+    "list main page panel primary right row section secondary site sticky text title top wrap wrapper".split()
+)
 _TAG_ZONE = {"article": 2, "main": 2, "nav": 0, "footer": 0, "aside": 0, "form": 0, "menu": 0, "dialog": 0}
 OTHER, PLAIN, MAIN = 0, 1, 2
 
@@ -70,6 +75,10 @@ LABELLED = (
     (30, 0.9, 5, 1.0, 20, 0.8, 1, 0, 0), (3, 0.0, 2, 1.0, 4, 1.0, 1, 0, 0), (5, 0.0, 3, 1.0, 0, 0.0, 1, 0, 0),
     (6, 0.5, 30, 0.0, 4, 1.0, 1, 0, 0), (9, 0.0, 4, 1.0, 3, 0.7, 1, 0, 0), (12, 0.6, 80, 0.0, 60, 0.0, 1, 0, 0),
     (4, 0.0, 6, 0.5, 3, 1.0, 1, 1, 0), (25, 0.7, 3, 0.0, 4, 1.0, 1, 0, 0), (40, 0.6, 10, 0.9, 2, 1.0, 1, 0, 0),
+    (28, 0.0, 28, 0.0, 28, 0.0, 1, 0, 1), (28, 0.0, 0, 0.0, 28, 0.0, 1, 0, 1), (28, 0.0, 28, 0.0, 0, 0.0, 1, 0, 1),
+    (60, 0.0, 0, 0.0, 0, 0.0, 1, 0, 1), (25, 0.0, 0, 0.0, 0, 0.0, 1, 0, 1), (15, 0.0, 20, 0.0, 18, 0.0, 1, 0, 1),
+    (18, 0.0, 3, 1.0, 22, 0.0, 1, 0, 1), (3, 1.0, 60, 0.0, 3, 1.0, 1, 0, 0), (4, 1.0, 80, 0.0, 0, 0.0, 1, 0, 0),
+    (3, 1.0, 70, 0.0, 60, 0.0, 1, 0, 0), (5, 1.0, 28, 0.0, 4, 1.0, 1, 0, 0), (2, 1.0, 60, 0.0, 2, 1.0, 1, 0, 0),
 )
 
 
@@ -117,24 +126,33 @@ def trained() -> DecisionTree:
     return DecisionTree(data[:, :-1], data[:, -1])
 
 
+def _names_furniture(parts: list[str]) -> bool:
+    """Whether the words of one name say menu, footer, advert and the like: one does, and each other is
+    one too or a mere wrapper. ``has-sidebar`` or ``social-science`` does not."""
+    return any(p in _OTHER_WORDS for p in parts) and all(p in _OTHER_WORDS or p in _WRAPPER_WORDS for p in parts)
+
+
 def _zone(tag: str, attributes: str, around: int) -> int:
     """What a container holds, from its tag and names, inside a container of kind ``around``.
 
-    Within a menu, footer, advert or comment section nothing is article again; a header counts as
-    page furniture only outside an article."""
+    Within a menu, footer, advert or comment section only ``main`` is article again (comments come as
+    ``article``); a header counts as page furniture only outside an article."""
     if around == OTHER:
-        return OTHER
+        return MAIN if tag == "main" else OTHER
     names: set[str] = set()
-    hidden = False
+    other = hidden = False
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             if key.lower() in ("class", "id", "role"):
-                names.update(n.lower() for n in _NAME.findall(value))
+                for token in value.strip("\"'").split():
+                    parts = [n.lower() for n in _NAME.findall(token)]
+                    names.update(parts)
+                    other = other or _names_furniture(parts)
             elif key.lower() == "style" and re.search(r"display\s*:\s*none", value):
                 hidden = True
         hidden = hidden or bool(re.search(r"\shidden(?=\s|/|\Z|=)", attributes))
     zone = _TAG_ZONE.get(tag, around)
-    if hidden or names & _OTHER_WORDS and tag not in ("body", "html", "article", "main"):
+    if hidden or other and tag not in ("body", "html", "article", "main"):
         return OTHER
     if tag == "header":
         return around if around == MAIN else OTHER
