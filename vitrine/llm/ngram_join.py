@@ -406,16 +406,13 @@ def _placed(
     pivoted = write_table(_to_pivots(large, kept.groupBy("fp").agg(F.sum("n").alias("s")), texts, words, least), "join-pivots")
     centre = F.col("a").alias("pivot")
     group = pivoted.select(F.col("b").alias("fp"), centre).unionByName(pivoted.select(F.col("a").alias("fp"), centre).distinct())
-    # only keys that a set which is not joined has
+    # only keys that a set which is not joined has, and one of those that hold the same sets
     outer = large.select("fp").join(group.select("fp"), "fp", "left_anti")
-    touched = kept.select("key", "fp").join(outer, "fp").select("key").distinct()
-    mine = write_table(kept.select("key", "fp").join(touched, "key", "left_semi"), "join-large")
+    touched = kept.join(outer, "fp").groupBy("who", "n").agg(F.min("key").alias("key")).select("key")
+    mine = write_table(kept.select("key", "fp", "n", "a").join(touched, "key", "left_semi"), "join-large")
     mine = mine.join(group, "fp", "left").withColumn("group", F.coalesce("pivot", "fp"))
-    keys = mine.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("who"), F.min("group").alias("x"), F.max("group").alias("y"), F.min("fp").alias("first")
-    )
-    keys = keys.where("x <> y").groupBy("who", "n").agg(F.min(F.struct("key", "first")).alias("k"))
-    keys = write_table(keys.select("n", "k.key", "k.first"), "join-units")
+    keys = mine.groupBy("key").agg(F.first("n").alias("n"), F.min("group").alias("x"), F.max("group").alias("y"), F.first("a").alias("first"))
+    keys = write_table(keys.where("x <> y").select("n", "key", "first"), "join-units")
     met = mine.select("key", "fp").join(keys, "key").select("fp", "n", "first")
     cool = met.where(F.col("n") <= block).select(F.xxhash64(F.lit("first"), "first").alias("unit"), "fp").distinct()
     hot = met.where(F.col("n") > block)
@@ -495,6 +492,7 @@ def similarity_groups(
     same_key = Window.partitionBy("key")
     parts = part_rows(docs, words, least).repartition(n, "key").dropDuplicates(["key", "fp"])
     kept = parts.withColumn("n", F.count("*").over(same_key)).where("n >= 2").withColumn("a", F.min("fp").over(same_key))
+    kept = kept.withColumn("who", F.bit_xor(F.xxhash64("fp")).over(same_key))  # with n: which sets have the key
     kept = write_table(kept, "join-parts")
     blocks = components(kept.where("a <> fp").select("a", F.col("fp").alias("b")), "join-blocks")
     members = reps.join(blocks, F.col("fp") == F.col("node")).select(F.col("rep").alias("doc_id"), "fp", "n_shingles", "component")
