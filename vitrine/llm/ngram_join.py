@@ -406,20 +406,21 @@ def _placed(
     pivoted = write_table(_to_pivots(large, kept.groupBy("fp").agg(F.sum("n").alias("s")), texts, words, least), "join-pivots")
     centre = F.col("a").alias("pivot")
     group = pivoted.select(F.col("b").alias("fp"), centre).unionByName(pivoted.select(F.col("a").alias("fp"), centre).distinct())
+    named = write_table(large.join(group, "fp", "left").select(*sets, "pivot"), "join-named")
     # only keys that a set which is not joined has, and one of those that hold the same sets
-    outer = large.select("fp").join(group.select("fp"), "fp", "left_anti")
+    outer = named.where("pivot is null").select("fp")
     touched = kept.join(outer, "fp").groupBy("who", "n").agg(F.min("key").alias("key")).select("key")
-    mine = write_table(kept.select("key", "fp", "n", "a").join(touched, "key", "left_semi"), "join-large")
-    mine = mine.join(group, "fp", "left").withColumn("group", F.coalesce("pivot", "fp"))
+    mine = kept.select("key", "fp", "n", "a").join(touched, "key", "left_semi").join(named, "fp", "left")
+    mine = write_table(mine.withColumn("group", F.coalesce("pivot", "fp")), "join-large")
     keys = mine.groupBy("key").agg(F.first("n").alias("n"), F.min("group").alias("x"), F.max("group").alias("y"), F.first("a").alias("first"))
     keys = write_table(keys.where("x <> y").select("n", "key", "first"), "join-units")
-    met = mine.select("key", "fp").join(keys, "key").select("fp", "n", "first")
-    cool = met.where(F.col("n") <= block).select(F.xxhash64(F.lit("first"), "first").alias("unit"), "fp").distinct()
+    met = mine.select("key", *sets, F.col("pivot").isNotNull().alias("inner")).join(keys, "key")
+    cool = met.where(F.col("n") <= block).select(F.xxhash64(F.lit("first"), "first").alias("unit"), *sets, "inner").distinct()
     hot = met.where(F.col("n") > block)
     groups = components(hot.where("fp <> first").select(F.col("first").alias("a"), F.col("fp").alias("b")), "join-hot")
-    dense = groups.select(F.xxhash64(F.lit("dense"), "component").alias("unit"), F.col("node").alias("fp"))
-    units = cool.unionByName(dense).join(large.select(*sets), "fp").join(group, "fp", "left")
-    units = units.select("unit", *sets, F.col("pivot").isNotNull().alias("inner"))
+    dense = groups.join(named, F.col("node") == F.col("fp"))
+    dense = dense.select(F.xxhash64(F.lit("dense"), "component").alias("unit"), *sets, F.col("pivot").isNotNull().alias("inner"))
+    units = write_table(cool.unionByName(dense), "join-placed")
     return _chunked(small.unionByName(units), block, grams), pivoted
 
 
