@@ -7,7 +7,10 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("arc_warc", "lattice_dedup", "packed_ids", "html_blocks", "curve_packing", "source_mix", "ngram_join", "ppm_language", "suffix_dedup", "posting_ann")
+_MODULES = (
+    "arc_warc", "lattice_dedup", "packed_ids", "html_blocks", "curve_packing", "source_mix", "ngram_join", "ppm_language", "suffix_dedup",
+    "posting_ann", "importance_resampling", "winnowing",
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
