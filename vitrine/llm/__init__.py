@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = (
     "arc_warc", "lattice_dedup", "packed_ids", "html_blocks", "curve_packing", "source_mix", "ngram_join", "ppm_language", "suffix_dedup",
-    "posting_ann", "importance_resampling", "winnowing",
+    "posting_ann", "importance_resampling", "winnowing", "hard_negatives",
 )
 
 

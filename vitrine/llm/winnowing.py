@@ -47,9 +47,7 @@ def _winnowed(df: DataFrame, lengths: list[int], keep: list[str]) -> DataFrame:
         df = df.withColumn(f"gram{k}", _shifted(f"gram{k - half}", f"gram{half}", k - half, lambda a, b: F.xxhash64(a, b)))
     for n in lengths:
         k = min(GRAM, n)
-        high = F.lit(-(1 << 31))
-        place = lambda h, i, n=n: h.bitwiseAND(high).bitwiseOR(F.lit(n << 27)).bitwiseOR(i.cast("long"))
-        df = df.withColumn(f"least{n}", F.transform(f"gram{k}", place))
+        df = df.withColumn(f"least{n}", F.transform(f"gram{k}", _placed(n)))
         width, wide = n - k + 1, 1
         while wide < width:
             step = min(wide, width - wide)
@@ -59,6 +57,11 @@ def _winnowed(df: DataFrame, lengths: list[int], keep: list[str]) -> DataFrame:
     return df.select(*keep, F.concat(*prints).alias("prints"))
 
 
+def _placed(n: int):
+    high, length = F.lit(-(1 << 31)).cast("long"), F.lit(n << 27).cast("long")
+    return lambda gram, i: gram.bitwiseAND(high).bitwiseOR(length).bitwiseOR(i.cast("long"))
+
+
 def _named(fingerprint: str = "p") -> Column:
     """The part of a print that equal k-grams of one length class share."""
     return F.shiftrightunsigned(fingerprint, 27)
@@ -81,6 +84,8 @@ def contamination(
     item id are one item; a null item id counts as the empty string; an empty table of items hits nothing; other
     columns are ignored.
     """
+    if not 0 < window < 16:
+        raise ValueError("a window has 1 to 15 words")  # the print's four bits
     listed = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), words().alias("words"))
     listed = listed.withColumn("n", F.least(F.size("words"), F.lit(window))).where("n > 0")
     listed = write_table(listed.repartition("item", "words"), "winnow-items")
@@ -92,10 +97,11 @@ def contamination(
     known = own[0]
     for more in own[1:]:
         known = known.unionByName(more)
-    known = known.select(F.explode("prints").alias("p")).select(_named().alias("name")).distinct()
+    known = known.select(F.explode_outer("prints").alias("p")).select(_named().alias("name")).distinct()
     known = write_table(known, "winnow-prints")
     small = known.count() <= most_broadcast
-    prints = _winnowed(docs, lengths, ["key"]).select("key", F.explode("prints").alias("p")).withColumn("name", _named())
+    # outer: an inner explode would first filter on the size of the whole nested expression
+    prints = _winnowed(docs, lengths, ["key"]).select("key", F.explode_outer("prints").alias("p")).withColumn("name", _named())
     hits = prints.join(F.broadcast(known) if small else known, "name", "left_semi")
     seeds = write_table(hits.groupBy("key").agg(F.collect_set("p").alias("seeds")), "winnow-seeds")  # of one text
 
@@ -106,15 +112,15 @@ def contamination(
     sets = sets.withColumn("set_id", F.unhex(F.sha2(F.array_join(F.transform("items", lambda i: F.concat(F.char_length(i), F.lit(":"), i)), ","), 256)))
     sets = write_table(sets, "winnow-sets")
 
-    length = lambda p: F.shiftright(p, 27).bitwiseAND(F.lit(15)).cast("int")
-    first = lambda p: p.bitwiseAND(F.lit(_PLACE)).cast("int")
+    length = lambda p: F.shiftright(p, 27).bitwiseAND(F.lit(15).cast("long")).cast("int")
+    first = lambda p: p.bitwiseAND(F.lit(_PLACE).cast("long")).cast("int")
     around = lambda p: F.transform(
         F.sequence(F.greatest(first(p) - length(p) + F.least(length(p), F.lit(GRAM)), F.lit(0)), F.least(first(p), F.size("words") - length(p))),
         lambda i: F.struct(length(p).alias("n"), i.alias("start")),
     )
     near = docs.join(seeds, "key").withColumn("near", F.array_distinct(F.flatten(F.transform("seeds", around))))
     seen = F.transform("near", lambda s: F.struct(s["n"].alias("n"), s["start"].alias("start"), F.array_join(F.slice("words", s["start"] + 1, s["n"]), " ").alias("window")))
-    near = near.select("key", F.inline(seen))
+    near = near.select("key", F.inline_outer(seen))
     found = near.join(sets.select("n", "window", "set_id"), ["n", "window"]).select("key", "start", "n", "set_id").distinct()
     found = write_table(found, "winnow-found")
 
