@@ -90,7 +90,8 @@ def contamination(
     listed = listed.withColumn("n", F.least(F.size("words"), F.lit(window))).where("n > 0")
     listed = write_table(listed.repartition("item", "words"), "winnow-items")
     lengths = sorted(r[0] for r in listed.select("n").distinct().collect())  # at most ``window`` numbers
-    docs = docs.select(text_key().alias("key"), words().alias("words"))
+    texts = docs.select(text_key().alias("key"), "text")
+    docs = texts.select("key", words().alias("words"))
     own = [_winnowed(listed.where(F.col("n") == n), [n], ["item"]) for n in lengths]
     if not own:
         return docs.limit(0).select("key", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
@@ -118,7 +119,9 @@ def contamination(
         F.sequence(F.greatest(first(p) - length(p) + F.least(length(p), F.lit(GRAM)), F.lit(0)), F.least(first(p), F.size("words") - length(p))),
         lambda i: F.struct(length(p).alias("n"), i.alias("start")),
     )
-    near = docs.join(seeds, "key").withColumn("near", F.array_distinct(F.flatten(F.transform("seeds", around))))
+    # texts meet their seeds by shuffle at every size, and are split into words only then
+    near = texts.hint("merge").join(seeds, "key").withColumn("words", words())
+    near = near.withColumn("near", F.array_distinct(F.flatten(F.transform("seeds", around))))
     seen = F.transform("near", lambda s: F.struct(s["n"].alias("n"), s["start"].alias("start"), F.array_join(F.slice("words", s["start"] + 1, s["n"]), " ").alias("window")))
     near = near.select("key", F.inline_outer(seen))
     found = near.join(sets.select("n", "window", "set_id"), ["n", "window"]).select("key", "start", "n", "set_id").distinct()
@@ -145,7 +148,7 @@ def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = write_table(contamination(docs, table(spark, sf_dir, "benchmark")), "winnow-result")
     n_words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0))
-    each = docs.select("doc_id", n_words.cast("long").alias("n_words"), text_key().alias("key")).join(found, "key", "left")
+    each = docs.select("doc_id", n_words.cast("long").alias("n_words"), text_key().alias("key")).hint("merge").join(found, "key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return each.select(
         "doc_id",
