@@ -50,10 +50,16 @@ _OTHER_WORDS = frozenset(
 # Words that may stand beside one of those in a name of several parts that is still such a container's.
 _WRAPPER_WORDS = frozenset(
     "area bar block body bottom box col column container content fixed footer global group header holder inner item items left link links "
-    "list main page panel primary right row section secondary site sticky text title top wrap wrapper".split()
+    "list main page panel primary right row section secondary site sticky text title top wrap wrapper posts articles stories entries".split()
 )
-_TAG_ZONE = {"article": 2, "main": 2, "nav": 0, "footer": 0, "aside": 0, "form": 0, "menu": 0, "dialog": 0}
-OTHER, PLAIN, MAIN = 0, 1, 2
+_TAG_ZONE = {"article": 3, "main": 3, "nav": 0, "footer": 0, "aside": 0, "form": 0, "menu": 0, "dialog": 0}
+# Of the words above, those whose containers hold texts of others: an ``article`` in them is a comment or a teaser.
+_FOREIGN_WORDS = frozenset(
+    "comment comments reply replies respond disqus discussion related recommended promo promotion ad ads adv advert adverts "
+    "advertisement advertising sponsor sponsored social sharing share".split()
+)
+# Kinds of containers: furniture by its name alone, other furniture, nothing known, main by its name alone, article by its tag.
+LAYOUT, OTHER, PLAIN, MAIN, ARTICLE = -1, 0, 1, 2, 3
 
 #: words, link density, words and link density of the block before, of the block after, zone
 #: (0 menu, footer, advert and the like; 1 nothing known; 2 article), heading; article or not.
@@ -68,6 +74,12 @@ LABELLED = (
     (1, 0.0, 60, 0.0, 2, 0.0, 2, 0, 1), (8, 0.9, 50, 0.0, 40, 0.1, 2, 0, 1), (3, 1.0, 70, 0.0, 60, 0.0, 2, 0, 1),
     (2, 0.0, 40, 0.0, 0, 0.0, 2, 0, 1), (200, 0.3, 90, 0.0, 10, 0.0, 2, 0, 1), (30, 0.0, 0, 0.0, 25, 0.0, 2, 0, 1),
     (5, 0.0, 3, 1.0, 4, 1.0, 2, 1, 1), (2, 1.0, 1, 1.0, 3, 1.0, 2, 0, 1),
+    (80, 0.0, 3, 1.0, 0, 0.0, 2, 0, 1), (4, 0.0, 2, 1.0, 17, 0.0, 2, 1, 1), (3, 0.0, 4, 1.0, 1, 1.0, 2, 1, 1), (35, 0.0, 2, 1.0, 2, 1.0, 2, 0, 1),
+    (3, 0.0, 5, 1.0, 2, 0.0, 2, 0, 1), (12, 0.0, 3, 0.8, 1, 0.0, 2, 0, 1), (2, 0.0, 1, 1.0, 0, 0.0, 2, 0, 1), (60, 0.6, 5, 1.0, 3, 0.0, 2, 0, 1),
+    (4, 0.0, 3, 1.0, 30, 0.0, 1, 1, 1), (9, 0.0, 2, 1.0, 45, 0.0, 1, 1, 1), (5, 0.0, 60, 0.0, 40, 0.0, 1, 1, 1), (3, 0.0, 25, 0.0, 30, 0.0, 1, 1, 1),
+    (3, 0.0, 60, 0.0, 2, 1.0, 1, 1, 0), (2, 0.0, 3, 1.0, 4, 1.0, 1, 1, 0), (4, 0.0, 0, 0.0, 2, 1.0, 1, 1, 0), (2, 0.0, 40, 0.0, 3, 0.9, 1, 1, 0),
+    (70, 0.0, 3, 1.0, 0, 0.0, 1, 0, 1), (30, 0.0, 2, 1.0, 2, 1.0, 1, 0, 1), (45, 0.0, 40, 0.0, 0, 0.0, 0, 0, 0), (30, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0),
+    (8, 0.0, 30, 0.0, 25, 0.0, 0, 1, 0), (150, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0),
     (80, 0.0, 60, 0.0, 90, 0.0, 1, 0, 1), (45, 0.05, 80, 0.0, 70, 0.1, 1, 0, 1), (20, 0.0, 60, 0.0, 45, 0.0, 1, 0, 1),
     (18, 0.1, 40, 0.0, 3, 1.0, 1, 0, 1), (8, 0.0, 4, 1.0, 90, 0.0, 1, 1, 1), (6, 0.0, 50, 0.0, 70, 0.0, 1, 1, 1),
     (7, 0.0, 70, 0.0, 65, 0.0, 1, 0, 1), (60, 0.2, 2, 1.0, 40, 0.0, 1, 0, 1), (150, 0.1, 8, 0.0, 2, 1.0, 1, 0, 1),
@@ -135,30 +147,40 @@ def _names_furniture(parts: list[str]) -> bool:
 def _zone(tag: str, attributes: str, around: int) -> int:
     """What a container holds, from its tag and names, inside a container of kind ``around``.
 
-    Within a menu, footer, advert or comment section only ``main`` is article again (comments come as
-    ``article``); a header counts as page furniture only outside an article."""
+    Within furniture ``main`` is article again, and ``article`` where only a layout name such as sidebar made it
+    furniture (comments and teasers come as ``article`` too); a header is the article's only inside an
+    article's tag."""
+    if around in (LAYOUT, OTHER) and (tag == "main" or tag == "article" and around == LAYOUT):
+        return ARTICLE
     if around == OTHER:
-        return MAIN if tag == "main" else OTHER
+        return OTHER
     names: set[str] = set()
-    other = hidden = False
+    other = foreign = hidden = False
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             if key.lower() in ("class", "id", "role"):
                 for token in value.strip("\"'").split():
                     parts = [n.lower() for n in _NAME.findall(token)]
                     names.update(parts)
-                    other = other or _names_furniture(parts)
+                    if _names_furniture(parts):
+                        other = True
+                        foreign = foreign or not _FOREIGN_WORDS.isdisjoint(parts)
             elif key.lower() == "style" and re.search(r"display\s*:\s*none", value):
                 hidden = True
         hidden = hidden or bool(re.search(r"\shidden(?=\s|/|\Z|=)", attributes))
-    zone = _TAG_ZONE.get(tag, around)
-    if hidden or other and tag not in ("body", "html", "article", "main"):
+    if hidden or _TAG_ZONE.get(tag) == OTHER:
         return OTHER
+    if other and tag not in ("body", "html", "article", "main"):
+        return OTHER if foreign else LAYOUT
+    if around == LAYOUT:
+        return LAYOUT
     if tag == "header":
-        return around if around == MAIN else OTHER
-    if zone == around and names & _MAIN_WORDS and tag not in ("body", "html"):
+        return around if around == ARTICLE else OTHER
+    if tag in _TAG_ZONE:
+        return ARTICLE
+    if around == PLAIN and names & _MAIN_WORDS and tag not in ("body", "html"):
         return MAIN
-    return zone
+    return around
 
 
 def blocks(page: str) -> tuple[list[str], np.ndarray]:
@@ -178,7 +200,7 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
                 words = len(text.split(" "))
                 linked = sum(len(html.unescape(p).split()) for p, inside in parts if inside)
                 texts.append(text)
-                rows.append((words, min(1.0, linked / words), zone, heading))
+                rows.append((words, min(1.0, linked / words), min(max(zone, OTHER), MAIN), heading))
             parts = []
 
     while at < size:
@@ -211,12 +233,11 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
                 parts.append((" ", False))
             continue
         if tag == "a":
-            links = 0 if closing else 1
+            links = 0 if closing else 1 + len(stack)
             continue
         if tag not in _BLOCK:
             continue
         flush()
-        links = 0
         heading = int(tag in _HEADING and not closing)
         if tag not in _CONTAINER:
             continue
@@ -229,6 +250,8 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
                 zone = before
                 if opened == tag:
                     break
+            if links > 1 + len(stack):  # a link without an end ends with its container
+                links = 0
     flush()
     n = len(rows)
     own = np.array(rows, dtype=float).reshape(n, 4)
