@@ -3,15 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-import vitrine.llm.common as common
 from vitrine.operators import graph
 
 
-@pytest.mark.parametrize("components", [graph.components, common.components])
-def test_ascending_chain_is_one_component(spark, components):
+def test_ascending_chain_is_one_component(spark):
     chain = spark.range(1, 1000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     other = spark.createDataFrame([(5003, 5002), (5002, 5001), (5001, 5001)], "a long, b long")
-    got = {r["node"]: r["component"] for r in components(chain.unionByName(other), "t").collect()}
+    got = {r["node"]: r["component"] for r in graph.components(chain.unionByName(other), "t").collect()}
     assert got == {i: 1 for i in range(1, 1001)} | {i: 5001 for i in (5001, 5002, 5003)}
 
 

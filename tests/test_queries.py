@@ -16,36 +16,6 @@ def test_query_without_sql_runs(name, spark):
     assert catalogue.QUERIES[name](spark, SMALL).columns
 
 
-def test_bridge_firms_split_their_ring(spark):
-    from vitrine.operators.graph import articulation_points, components
-
-    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (10, 11)], "a long, b long")
-    labels = components(edges, "t")
-    assert {r["node"]: r["component"] for r in labels.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 10: 10, 11: 10}
-    assert sorted(r["node"] for r in articulation_points(edges, labels).collect()) == [3, 4]
-
-
-def test_bridge_firms_equal_removal_of_every_node(spark):
-    import random
-
-    from vitrine.operators.graph import articulation_points, components
-
-    rng = random.Random(3)
-    edges = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(55)})
-
-    def groups(pairs, nodes):
-        name = {n: n for n in nodes}
-        for _ in nodes:
-            for a, b in pairs:
-                name[a] = name[b] = min(name[a], name[b])
-        return len(set(name.values()))
-
-    nodes = {n for e in edges for n in e}
-    want = [n for n in sorted(nodes) if groups([e for e in edges if n not in e], nodes - {n}) > groups(edges, nodes)]
-    df = spark.createDataFrame(edges, "a long, b long")
-    assert sorted(r["node"] for r in articulation_points(df, components(df, "t")).collect()) == want
-
-
 def test_scores_keep_rows_with_null_features(spark):
     from vitrine.operators.anomaly import ecod
 

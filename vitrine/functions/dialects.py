@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vitrine.functions.names import fold
+from vitrine.functions.numbers import parse_number
 
 
 def strict_number(c: Column) -> Column:
@@ -25,17 +26,17 @@ def digits_number(c: Column) -> Column:
 
 
 def grouped_sum(text: Column, least: float) -> Column:
-    """Sum of the numbers in groups of three after dots or blanks that exceed ``least``."""
-    found = F.regexp_extract_all(text, F.lit(r"\b(\d{1,3}(?:[. ]\d{3})+)\b"), F.lit(1))
-    values = F.transform(found, lambda x: F.regexp_replace(x, r"[. ]", "").cast("double"))
+    """Sum of the numbers in groups of three after dots or blanks that exceed ``least``, with one or two decimals after a comma."""
+    found = F.regexp_extract_all(text, F.lit(r"\d{1,3}(?:[.\s]\d{3})+(?:,\d{1,2})?"), F.lit(0))
+    values = F.transform(found, lambda x: F.replace(F.regexp_replace(x, r"[.\s]", ""), F.lit(","), F.lit(".")).cast("double"))
     return F.aggregate(F.filter(values, lambda v: v > least), F.lit(0.0), lambda a, v: a + v)
 
 
 def areas(text: Column) -> Column:
-    """Areas in square metres that a text names, those above 5, as (count, total)."""
-    found = F.regexp_extract_all(text, F.lit(r"(?i)(\d+(?:[.,]\d+)?)\s*(?:mp|m2|m²)(?![a-z0-9])"), F.lit(1))
-    values = F.filter(F.transform(found, lambda x: F.replace(x, F.lit(","), F.lit(".")).cast("double")), lambda v: v > 5)
-    return F.struct(F.size(values).cast("long").alias("n"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"))
+    """(count, total) of the areas that a text names as a number and m: all are counted, those above 5 square metres added up."""
+    found = F.regexp_extract_all(text, F.lit(r"(?i)(\d{1,5}(?:[.,]\d+)?)\s*m\s*²?"), F.lit(1))
+    values = F.filter(F.transform(found, lambda x: parse_number(x, "groups")), lambda v: v > 5)
+    return F.struct(F.size(found).cast("long").alias("n"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"))
 
 
 def short_money(c: Column) -> Column:

@@ -1,8 +1,7 @@
-"""Graph operators over edge tables: components, reach, projections, cut vertices."""
+"""Graph operators over edge tables: components, reach, projections."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,47 +85,3 @@ def degrees(edges: DataFrame) -> DataFrame:
     """Number of edges at every node of (a, b)."""
     ends = edges.select(F.col("a").alias("node")).unionAll(edges.select(F.col("b").alias("node")))
     return ends.groupBy("node").agg(F.count("*").alias("degree"))
-
-
-def _cut_vertices(component: pd.DataFrame) -> pd.DataFrame:
-    """Cut vertices of one component by depth-first search with an explicit stack."""
-    around: dict[int, list[int]] = {}
-    for a, b in zip(component["a"], component["b"], strict=True):
-        around.setdefault(a, []).append(b)
-        around.setdefault(b, []).append(a)
-    order: dict[int, int] = {}
-    low: dict[int, int] = {}
-    cuts = set()
-    for root in around:
-        if root in order:
-            continue
-        order[root] = low[root] = len(order)
-        children, stack = 0, [(root, None, iter(around[root]))]
-        while stack:
-            node, parent, rest = stack[-1]
-            for other in rest:
-                if other not in order:
-                    order[other] = low[other] = len(order)
-                    stack.append((other, node, iter(around[other])))
-                    children += node == root
-                    break
-                if other != parent:
-                    low[node] = min(low[node], order[other])
-            else:
-                stack.pop()
-                if parent is not None:
-                    low[parent] = min(low[parent], low[node])
-                    if parent != root and low[node] >= order[parent]:
-                        cuts.add(parent)
-        if children > 1:
-            cuts.add(root)
-    return pd.DataFrame({"component": component["component"].iloc[0], "node": sorted(cuts)})
-
-
-def articulation_points(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """(component, node) of the nodes whose loss splits their component.
-
-    One component is one task's work, as in the rings this serves; ``shared_member_pairs`` bounds
-    their growth by its degree limit."""
-    placed = edges.join(labels.select(F.col("node").alias("a"), "component"), "a")
-    return placed.select("component", "a", "b").groupBy("component").applyInPandas(_cut_vertices, "component long, node long")

@@ -7,25 +7,53 @@ from pyspark.sql import functions as F
 from vitrine.plans.registry import query
 from vitrine.sources import files, sinks
 from vitrine.sources.shared import shared_dir, write_table
+from vitrine.streaming.lines import read_lines_stream
 
 
 @query("SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_brand, (SELECT count(*) FROM part WHERE p_partkey % 10 = 0) AS malformed FROM part")
 def separated_text(t):
-    """Text with a byte order mark, a separator to be found and rows of too many fields (SRC-04, SRC-05, SRC-06, SRC-07)."""
+    """Text with a byte order mark, a separator to be found and rows of too many fields (SRC-04, SRC-05, SRC-06)."""
     part = t("part")
-    line = F.concat_ws("^", "p_partkey", "p_name", "p_brand")
-    lines = part.select(F.lit(1).alias("o"), "p_partkey", line.alias("value"))
-    broken = part.where("p_partkey % 10 = 0").select(F.lit(1).alias("o"), "p_partkey", F.concat(line, F.lit("^x^y")).alias("value"))
-    path = shared_dir(part.sparkSession, "separated")
-    # every part file begins with the header, as the dumps do
-    lines.unionByName(broken).groupBy(F.pmod("p_partkey", F.lit(4))).agg(F.concat_ws("\n", F.collect_list("value")).alias("body")).select(
-        F.concat(F.lit("﻿p_partkey^p_name^p_brand\n"), "body").alias("value")
-    ).repartition(4, "value").where("value is not null").write.option("maxRecordsPerFile", "1").text(path)
+    path = _separated(part, "^", "\ufeff")
     rows = files.read_separated(part.sparkSession, path)
     bad = rows.where(F.col(files.BAD).isNotNull()).select("p_partkey", files.BAD).agg(F.count("p_partkey").alias("malformed"))
     return files.well_formed(rows).join(F.broadcast(bad))  # one row
 
 
+def _separated(part, sep, mark=""):
+    """The parts as text files, each with a header line, every tenth row again with too many fields."""
+    line = F.concat_ws(sep, "p_partkey", "p_name", "p_brand")
+    tail = F.array(F.lit(""), F.when(F.col("p_partkey") % 10 == 0, F.lit(f"{sep}x{sep}y")))
+    header = mark + sep.join(("p_partkey", "p_name", "p_brand"))
+    lines = part.select(line.alias("line"), F.explode(F.array_compact(tail)).alias("tail")).select(F.concat("line", "tail").alias(header))
+    path = shared_dir(part.sparkSession, "separated")
+    # one column whose name is the header, neither quoted nor escaped
+    lines.write.options(header="true", sep="\x01", quote="", escape="", emptyValue="").csv(path)
+    return path
+
+
+@query("""SELECT count(*) FILTER (WHERE p_partkey % 3 <> 0) + 0 AS first_run, count(*) + 0 AS rows, count(*) FILTER (WHERE p_partkey % 10 = 0) AS malformed, sum(p_partkey)::BIGINT AS keys FROM part""")
+def resumed_lines(t):
+    """Separated text read as a stream that stops and goes on by byte offsets, malformed rows counted (SRC-07, ST-A)."""
+    part = t("part")
+    spark = part.sparkSession
+    source, out, checkpoint = (shared_dir(spark, f"lines-{x}") for x in ("source", "rows", "checkpoint"))
+
+    def run(rows) -> None:
+        spark.read.text(_separated(rows, "|")).write.mode("append").text(source)
+        stream = read_lines_stream(spark, source)
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start().awaitTermination()
+
+    run(part.where("p_partkey % 3 <> 0"))
+    first = spark.read.parquet(out).agg(F.count("p_partkey").alias("first_run")).first()[0]  # one number
+    run(part.where("p_partkey % 3 = 0"))
+    rows = spark.read.parquet(out)
+    return rows.agg(
+        F.lit(first).cast("long").alias("first_run"), F.count("p_partkey").alias("rows"), F.count(files.BAD).alias("malformed"), F.sum(F.col("p_partkey").cast("long")).alias("keys")
+    )
+
+
 @query("SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer")
 def ndjson_load(t):
     """A table as JSON lines and back (SRC-03, SNK-04)."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.gold import CONTRACT, LINK, as_double, companies, contracts, links
-from vitrine.operators.graph import articulation_points, components, degrees, reach, shared_member_pairs
+from vitrine.operators.biconnected import cut_vertices
+from vitrine.operators.gold import CONTRACT, LINK, as_double, companies, contracts, links, money
+from vitrine.operators.graph import components, degrees, reach, shared_member_pairs
 from vitrine.plans.registry import query
 
 _EDGES = """edge AS (SELECT 'r' || r_regionkey AS src, 'n' || n_nationkey AS dst FROM region JOIN nation ON n_regionkey = r_regionkey
@@ -144,7 +145,11 @@ def node_degrees(t):
 
 @query()
 def bridge_firms(t):
-    """Nodes of the part-order graph of full lots whose loss splits their ring (GR-08)."""
-    lots = t("lineitem").where("l_quantity = 50")
-    edges = lots.select((F.col("l_partkey") * 2).alias("a"), (F.col("l_orderkey") * 2 + 1).alias("b")).distinct()
-    return articulation_points(edges, components(edges, "rings"))
+    """Firms of the part-order graph whose loss splits their ring, with degree and money (GR-08).
+
+    Of the cut vertices those that are parts stay, if they have money or two orders or more."""
+    edges = _bipartite(t)
+    degree = edges.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("degree"))
+    total = t("lineitem").groupBy((F.col("l_partkey") * 2).alias("node")).agg(F.sum(money("l_extendedprice")).alias("total"))
+    cut = cut_vertices(edges).where("node % 2 = 0").join(degree, "node").join(total, "node")
+    return cut.where("total > 0 OR degree >= 2").select((F.col("node") / 2).cast("long").alias("firm"), "blocks", "degree", as_double(F.col("total")).alias("money"))

@@ -25,26 +25,27 @@ def number_dialects(t):
     )
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN floor(l_extendedprice) > 1000 THEN floor(l_extendedprice) ELSE 0.0 END AS grouped,
-    1 + (l_quantity > 5)::BIGINT AS n_areas, 12.5 + CASE WHEN l_quantity > 5 THEN l_quantity ELSE 0 END AS area FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice > 1000 THEN floor(l_extendedprice) + 0.75 ELSE 0.0 END AS grouped,
+    2 AS n_areas, 12.5 + CASE WHEN l_quantity > 5 THEN l_quantity ELSE 0 END AS area FROM lineitem""")
 def sums_in_text(t):
-    """Sums of the amounts and areas that a text names (NM-10, NM-14)."""
+    """Sums of the amounts, with their decimals, and of the areas that a text names (NM-10, NM-14)."""
     grouped = F.replace(F.format_number(F.floor("l_extendedprice"), 0), F.lit(","), F.lit("."))
     area = dialects.areas(F.concat(F.lit("teren 12,5 mp, casa "), F.col("l_quantity").cast("int"), F.lit(" m2")))
     return t("lineitem").select(
-        "l_orderkey", "l_linenumber", dialects.grouped_sum(F.concat(F.lit("total "), grouped, F.lit(" lei")), 1000.0).alias("grouped"),
+        "l_orderkey", "l_linenumber", dialects.grouped_sum(F.concat(F.lit("total "), grouped, F.lit(",75 lei")), 1000.0).alias("grouped"),
         area["n"].alias("n_areas"), area["total"].alias("area"),
     )
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_totalprice >= 1e6 THEN printf('%.1f mil lei', o_totalprice / 1e6) WHEN o_totalprice >= 1e3
-    THEN printf('%.1f mii lei', o_totalprice / 1e3) ELSE printf('%.0f lei', o_totalprice) END IS NOT NULL AS shown,
-    CASE WHEN o_totalprice > 200 THEN o_totalprice ELSE 0 END * 5.05 AS lei FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_totalprice * f >= 1e9 THEN printf('%.1f mld lei', o_totalprice * f / 1e9) WHEN o_totalprice * f >= 1e6 THEN printf('%.1f mil lei', o_totalprice * f / 1e6)
+    WHEN o_totalprice * f >= 1e3 THEN printf('%.1f mii lei', o_totalprice * f / 1e3) ELSE printf('%.0f lei', o_totalprice * f) END AS shown,
+    CASE WHEN o_totalprice > 200 THEN o_totalprice ELSE 0 END * 5.05 AS lei FROM (SELECT *, [0.00137, 1.0, 97.1, 31234.7][o_orderkey % 4 + 1]::DOUBLE AS f FROM orders)""")
 def money_shown(t):
     """Amounts as they are shown, and in lei (ST-20, NM-06, NM-11)."""
     price = F.col("o_totalprice")
+    scaled = price * F.element_at(F.array(*map(F.lit, (0.00137, 1.0, 97.1, 31234.7))), (F.col("o_orderkey") % 4 + 1).cast("int"))
     return t("orders").select(
-        "o_orderkey", dialects.short_money(price).isNotNull().alias("shown"),
+        "o_orderkey", dialects.short_money(scaled).alias("shown"),
         numbers.to_lei(F.when(price > 200, numbers.capped(price, 1e12)).otherwise(0.0), F.lit("eur")).alias("lei"),
     )
 
@@ -67,7 +68,7 @@ def shown_names(t):
 @query("""SELECT confidence, count(*) AS n FROM (SELECT CASE WHEN len(k) >= 3 THEN 'high' WHEN len(k) = 2 THEN 'context' ELSE 'candidate' END AS confidence
     FROM (SELECT list_distinct(list_filter(string_split_regex(lower(p_name), '[^a-z]+'), lambda x: len(x) >= 2)) AS k FROM part)) GROUP BY 1""")
 def confidence_tiers(t):
-    """Confidence by the number of words of a name key (ST-15, ER-08)."""
+    """Confidence by the number of words of a name key (ST-15)."""
     return t("part").groupBy(dialects.confidence(names.name_key("p_name")).alias("confidence")).agg(F.count("*").alias("n"))
 
 
@@ -78,11 +79,11 @@ def repaired_text(t):
     return t("part").select("p_partkey", text.repair_encoding(twice).alias("repaired"), names.fix_diacritics(F.concat("p_name", F.lit(" ş"))).alias("fixed"))
 
 
-@query("""SELECT o_orderkey, 'BUNURI ' || o_orderkey || ' ' AS part, round(o_totalprice, 2) + 0.0 AS lei FROM orders WHERE o_totalprice > 1000""")
+@query("""SELECT o_orderkey, 'BUNURI ' || o_orderkey || ' ' AS part, CASE WHEN round(o_totalprice, 2) > 100 THEN round(o_totalprice, 2) ELSE 0 END AS lei FROM orders""")
 def declaration_sections(t):
     """A section of a declaration and the sum it names (TX-01, NM-04, NM-13)."""
     doc = F.concat(F.lit("ANTET BUNURI "), "o_orderkey", F.lit(" VENITURI "), F.format_string("%.2f", "o_totalprice"), F.lit(" lei, 50 lei"))
-    found = t("orders").where("o_totalprice > 1000").withColumn("doc", doc)
+    found = t("orders").withColumn("doc", doc)
     return found.select("o_orderkey", text.section(F.col("doc"), "BUNURI", ["VENITURI"]).alias("part"), numbers.amounts_in(F.col("doc")).alias("lei"))
 
 
@@ -98,7 +99,7 @@ def guarded_ratios(t):
 @query("""SELECT c_nationkey, n, running FROM (SELECT c_nationkey, n, sum(n) OVER (ORDER BY n DESC, c_nationkey) AS running
     FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1)) WHERE running <= (SELECT count(*) FROM customer) / 2""")
 def greedy_prefix(t):
-    """Groups by size until a cap of nodes is reached (TK-11, GR-09)."""
+    """Groups by size until a cap of nodes is reached (TK-11)."""
     from pyspark.sql import Window
 
     customer = t("customer")

@@ -96,19 +96,28 @@ def pii_scan(t):
     return t("documents").select("doc_id", *flags)
 
 
-@query("""SELECT doc_id, len(list_distinct(regexp_extract_all(text, '\\bhttps?://[^\\s"<>]+'))) AS links, len(regexp_extract_all(text, '\\d+\\s*/\\s*\\d{4}')) AS refs FROM documents""")
+@query("""SELECT doc_id, ['lege/' || (doc_id % 300) || '/2010', 'oug/57/2019', 'oug/5/2001', 'hg/' || (doc_id % 7) || '/2004', 'og/2/2000'] AS laws,
+    len(list_distinct(regexp_extract_all(text, '\\bhttps?://[^\\s"<>]+'))) AS links FROM documents""")
 def law_references(t):
-    """Link and number/year citations of whole texts (TX-09, FLT-10)."""
+    """Citations of laws behind whole texts, distinct and by kind, and the texts' links (TX-09)."""
     links = F.array_distinct(F.regexp_extract_all("text", F.lit(r'\bhttps?://[^\s"<>]+'), F.lit(0)))
-    refs = F.regexp_extract_all("text", F.lit(r"\d+\s*/\s*\d{4}"), F.lit(0))
-    return t("documents").select("doc_id", F.size(links).cast("long").alias("links"), F.size(refs).cast("long").alias("refs"))
+    n, m = (F.col("doc_id") % 300).cast("string"), (F.col("doc_id") % 7).cast("string")
+    cited = F.concat(
+        F.coalesce("text", F.lit("")), F.lit(" Legea nr. "), n, F.lit("/2010, O.U.G. 57 / 2019; Ordonanța de urgență nr. 5/2001 HG nr."), m,
+        F.lit("/2004, legea "), n, F.lit("/2010, Hotărârea 00"), m, F.lit("/2004, ordonanta 2/2000"),
+    )
+    return t("documents").select("doc_id", text.law_references(cited).alias("laws"), F.size(links).cast("long").alias("links"))
 
 
-@query("""SELECT doc_id, array_to_string(regexp_extract_all(text, '\\b[A-Z][A-Z0-9]{3,}\\b'), ' ') AS capitals FROM documents""")
+@query("""WITH w AS (SELECT doc_id, upper(regexp_replace(regexp_extract(coalesce(text, ''), '^\\S+'), '[^a-zA-Z]', '', 'g')) AS w FROM documents),
+    n AS (SELECT doc_id, w || 'ESCU' AS w FROM w)
+    SELECT doc_id, [w || ' POP-ȘTEF', 'ION ' || w || ' UAT ȚIC', 'BB CC DD EE', 'FF GG'] AS names FROM n""")
 def caps_names(t):
-    """Capitalised words of whole texts in order (ST-23)."""
-    found = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9_])[A-Z][A-Z0-9]{3,}(?![A-Za-z0-9_])"), F.lit(0))
-    return t("documents").select("doc_id", F.array_join(found, " ").alias("capitals"))
+    """Names in capitals among words, signs and abbreviations, built from the first word of every text (ST-23)."""
+    first = F.upper(F.regexp_replace(F.regexp_extract(F.coalesce("text", F.lit("")), r"^\S+", 0), "[^a-zA-Z]", ""))
+    w = F.concat(first, F.lit("ESCU"))
+    line = F.concat(F.lit("Inculpatul "), w, F.lit("  POP-ȘTEF, DNA SRL și ION "), w, F.lit(" UAT ȚIC. "), w, F.lit(" POP-ȘTEF; A1 BB CC DD EE FF GG x B. X"))
+    return t("documents").select("doc_id", text.capital_names(line).alias("names"))
 
 
 @query("""SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is'), '\\s+', ' ', 'g')) AS title,

@@ -8,21 +8,23 @@ from pyspark.sql import functions as F
 from vitrine.sources.shared import shared_dir
 
 
-def running_totals(events: DataFrame, files: int = 4) -> DataFrame:
-    """event_type, n, total of ``events``, ingested file by file as a stream.
+def running_totals(events: DataFrame, most: int = 4) -> DataFrame:
+    """event_type, n, total of ``events``, ingested in micro-batches as a stream.
 
-    The events are laid out as files in the shared folder, read with one file per trigger until all
-    are done, and each micro-batch writes its partial totals under its own number: a batch that is
+    The events are laid out in the shared folder in as many files as their partitions make, of which each trigger
+    takes a quarter (at least one file) until all are done; each micro-batch writes its partial totals under its own number: a batch that is
     run again after a failure overwrites what it wrote and counts once."""
     spark = events.sparkSession
     source, out, checkpoint = (shared_dir(spark, f"ingest-{x}") for x in ("source", "totals", "checkpoint"))
-    events.select("event_id", "event_type", "value").repartition(files, "event_id").write.parquet(source)
+    chosen = events.select("event_id", "event_type", "value")
+    chosen.repartition("event_id").write.parquet(source)
+    files = len(spark.read.parquet(source).inputFiles())
 
     def merge(batch: DataFrame, number: int) -> None:
         totals = batch.groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).alias("total"))
         totals.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    stream = spark.readStream.schema("event_id long, event_type string, value double").option("maxFilesPerTrigger", 1).parquet(source)
+    stream = spark.readStream.schema("event_id long, event_type string, value double").option("maxFilesPerTrigger", max(1, -(-files // most))).parquet(source)
     running = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     running.awaitTermination()
     parts = spark.read.schema("event_type string, n long, total decimal(28,4), batch int").parquet(out)
