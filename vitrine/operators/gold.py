@@ -57,9 +57,9 @@ def persons(t: Loader) -> DataFrame:
     )
 
 
-def links(t: Loader, quantity: float = 48) -> DataFrame:
-    """Distinct (id, cui): persons and the companies they are tied to by large orders."""
-    lines = t("lineitem").where(F.col("l_quantity") >= quantity).select("l_orderkey", "l_suppkey")
+def links(t: Loader) -> DataFrame:
+    """Distinct (id, cui): persons and the companies they are tied to by their orders."""
+    lines = t("lineitem").select("l_orderkey", "l_suppkey")
     return (
         lines.join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(F.col("o_custkey").alias("id"), F.col("l_suppkey").alias("cui"))
@@ -92,8 +92,7 @@ COMPANY = """company AS (SELECT s_suppkey AS cui, s_name AS nume, n_name AS jude
     JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 PERSON = """person AS (SELECT c_custkey AS id, c_name AS nume, c_mktsegment AS camera, n_name AS judet
     FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
-LINK = """link AS (SELECT DISTINCT o_custkey AS id, l_suppkey AS cui FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_quantity >= 48)"""
+LINK = """link AS (SELECT DISTINCT o_custkey AS id, l_suppkey AS cui FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 CONTRACT = """contract AS (SELECT o_custkey AS authority, l_suppkey AS supplier, l_orderkey AS notice, l_linenumber AS lot,
     CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(l_shipdate AS DATE) AS day, o_orderpriority AS procedure, l_returnflag AS flag
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""

@@ -80,12 +80,12 @@ def persons_min_contracts(t):
     FROM multi m JOIN link l ON m.cui = l.cui JOIN person p ON l.id = p.id GROUP BY l.cui""")
 def co_administration(t):
     """Companies of two persons or more, with their first six names (JN-09, AG-05)."""
-    pairs = links(t)
-    several = pairs.groupBy("cui").count().where("count >= 2").select("cui")
-    return pairs.join(several, "cui").join(persons(t), "id").groupBy("cui").agg(
-        F.countDistinct("id").alias("administratori"),
-        F.array_join(F.slice(F.sort_array(F.collect_set("nume")), 1, 6), ", ").alias("nume"),
-    )
+    pairs = links(t).join(persons(t).select("id", "nume"), "id")
+    per = pairs.groupBy("cui").agg(F.count("*").alias("administratori")).where("administratori >= 2")
+    # the rank is cut to six before the shuffle, so no company's names are gathered
+    first = F.row_number().over(Window.partitionBy("cui").orderBy("nume"))
+    names = pairs.select("cui", "nume").distinct().withColumn("rn", first).where("rn <= 6").groupBy("cui").agg(F.sort_array(F.collect_list("nume")).alias("n"))
+    return per.join(names, "cui").select("cui", "administratori", F.array_join("n", ", ").alias("nume"))
 
 
 @query(f"""WITH {COMPANY}, {LINK} SELECT l.id, l.cui, c.nume, coalesce(c.bal, 0) AS bal

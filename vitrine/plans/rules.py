@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.anomaly import ecod
-from vitrine.operators.gold import COMPANY, CONTRACT, LINK, PERSON, as_double, companies, contracts, links, money, persons
+from vitrine.operators.gold import COMPANY, CONTRACT, LINK, PERSON, as_double, companies, contracts, money, persons
 from vitrine.plans.registry import query
+from vitrine.sources.shared import write_table
 
 # Severities and their scores.
 SEVERITY = {"mare": 3, "medie": 2, "mica": 1}
@@ -39,21 +40,33 @@ _ALERTS = f"""{COMPANY}, {PERSON}, {LINK}, {CONTRACT}, a AS (
 
 
 def _alerts(t) -> DataFrame:
-    firm, people, pairs, rows = companies(t), persons(t), links(t), contracts(t)
-    own = pairs.join(rows, (F.col("authority") == F.col("id")) & (F.col("supplier") == F.col("cui"))).groupBy("id").agg(F.sum("amount").alias("v"))
+    """All rules from one table of authority and supplier, written once."""
+    rows = contracts(t).groupBy("authority", "supplier").agg(F.sum("amount").alias("amount"), F.count("*").alias("n"), F.min("day").alias("day"))
+    rows = write_table(rows, "alerts-star")
+    total = rows.groupBy("supplier").agg(F.sum("amount").alias("contracte_ron"), F.sum("n").alias("contracte_nr"), F.min("day").alias("since"))
+    total = write_table(total, "alerts-firms")
+    known = (
+        t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("s_suppkey").alias("cui"), F.col("s_acctbal").alias("bal"), F.col("n_name").alias("judet"), F.col("r_name").alias("sector"))
+    )
+    none = F.lit(0)
+    firm = known.join(total.withColumnRenamed("supplier", "cui"), "cui", "left")
+    firm = firm.withColumn("contracte_ron", F.coalesce("contracte_ron", none)).withColumn("contracte_nr", F.coalesce("contracte_nr", none))
+    people, pairs = persons(t), rows.select(F.col("authority").alias("id"), F.col("supplier").alias("cui"))
+    own = rows.groupBy(F.col("authority").alias("id")).agg(F.sum("amount").alias("v"))
     leads = (
         people.where("camera = 'BUILDING'").join(pairs, "id").join(firm.where("judet < 'C'").select("cui", "contracte_ron"), "cui")
         .groupBy("id").agg(F.max("contracte_ron").alias("v"))
     )
     loss = firm.where("bal < 0 and contracte_ron >= 5000000")
     outlier = firm.where("contracte_nr > 0 and contracte_ron >= 1000000 and contracte_ron >= 38500 * contracte_nr")
-    many = pairs.groupBy("id").agg(F.countDistinct("cui").alias("v")).where("v > 3")
+    many = pairs.groupBy("id").agg(F.count("*").alias("v")).where("v > 3")
     party = (
         t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name")
         .agg(F.sum(money("c_acctbal")).alias("s"), F.count_if((F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 9000)).alias("d"))
         .where("s > 10000 and d = 0")
     )
-    new = rows.groupBy("supplier").agg(F.min("day").alias("since"), F.sum("amount").alias("v")).where(F.col("since") >= "1992-01-10")
+    new = total.where(F.col("since") >= "1992-01-10").withColumnRenamed("contracte_ron", "v")
     foreign = firm.where("sector = 'EUROPE' and contracte_ron > 0")
     value = F.col("v")
     return reduce(

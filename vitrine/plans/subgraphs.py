@@ -8,6 +8,7 @@ from vitrine.operators.gold import money
 from vitrine.operators.subgraph import bounded_subgraph as bounded
 from vitrine.operators.subgraph import expand
 from vitrine.plans.registry import query
+from vitrine.sources.shared import write_table
 
 #: Nodes of the view, persons with the most contracts, companies with the most persons.
 CAP, RICHEST, HUBS = 3000, 120, 50
@@ -29,7 +30,7 @@ _GRAPH = f"""edge AS (SELECT DISTINCT o_custkey AS person, l_partkey AS company
 
 def _graph(t):
     lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    edges = lines.select(F.col("o_custkey").alias("person"), F.col("l_partkey").alias("company")).distinct()
+    edges = write_table(lines.select(F.col("o_custkey").alias("person"), F.col("l_partkey").alias("company")).distinct(), "view-edges")
     rich = t("lineitem").where("l_returnflag = 'R' AND l_linestatus = 'F' AND l_quantity = 50").select(F.col("l_partkey").alias("company")).distinct()
     total = lines.groupBy(F.col("o_custkey").alias("person")).agg(F.sum(money("l_extendedprice")).alias("total"))
     richest = total.orderBy(F.col("total").desc(), "person").limit(RICHEST).select("person")
