@@ -44,3 +44,24 @@ def test_personal_data_is_found_and_stops_publication(spark):
 def test_law_references(spark):
     found = one(spark, text.law_references(F.col("t")), t="Legea nr. 176/2010 si O.U.G. 109/2011, HG nr. 617/2023, Legea 176/2010")
     assert found == ["lege/176/2010", "oug/109/2011", "hg/617/2023"]
+
+
+def test_money_is_rounded_as_its_binary_value(spark):
+    from vitrine.functions.dialects import short_money
+
+    values = [0.0, 0.5, 1.5, 2.5, 999.4, 999.5, 999.96, 1000.0, 1049.999, 1050.0, 1250.0, 405950.0, 358650.0, 999950.0, 1e6, 2.25e6, 1.35e9, 1e12, 5e12, 0.49999999999999994]
+
+    def shown(v):
+        for unit, name in ((1e9, "mld"), (1e6, "mil"), (1e3, "mii")):
+            if v >= unit:
+                return f"{v / unit:.1f} {name} lei"
+        return f"{v:.0f} lei"
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(short_money(F.col("v"))).collect()] == [shown(v) for v in values]
+
+
+def test_names_in_capitals(spark):
+    line = "DNA SRL, ION  POPESCU; A1 BB CC DD EE FF GG x B. X și ION POPESCU-ȘTEF PSD și ION POPESCU"
+    assert one(spark, text.capital_names(F.col("t")), t=line) == ["ION POPESCU", "BB CC DD EE", "FF GG", "ION POPESCU-ȘTEF PSD"]
+    assert one(spark, text.capital_names(F.col("t")), t="") == []

@@ -39,12 +39,24 @@ def areas(text: Column) -> Column:
     return F.struct(F.size(found).cast("long").alias("n"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"))
 
 
+def _fixed(x: Column, decimals: int) -> Column:
+    """A number from 0 to below 1000 with 0 or 1 decimals, rounded by its exact binary value, ties to even (Spark's formatting
+    rounds the shortest decimal that stands for it, half up). From 1000 on Spark's own."""
+    bits = 52
+    mask, half = (1 << bits) - 1, 1 << (bits - 1)
+    units = (x * float(1 << bits)).try_cast("long")  # exact below 1000
+    whole, part = F.shiftright(units, bits), units.bitwiseAND(F.lit(mask)) * 10**decimals
+    digit, rest = F.shiftright(part, bits), part.bitwiseAND(F.lit(mask))
+    n = whole * 10**decimals + digit
+    n = n + F.when((rest > half) | ((rest == half) & (n % 2 == 1)), 1).otherwise(0)
+    shown = n.cast("string") if decimals == 0 else F.concat_ws(".", F.floor(n / 10).cast("string"), (n % 10).cast("string"))
+    return F.when((x >= 0) & (x < 1000), shown).otherwise(F.format_string(f"%.{decimals}f", x))
+
+
 def short_money(c: Column) -> Column:
     """An amount in lei, thousands (mii), millions (mil) or billions (mld) with one decimal."""
-    return (
-        F.when(c >= 1e9, F.format_string("%.1f mld lei", c / 1e9)).when(c >= 1e6, F.format_string("%.1f mil lei", c / 1e6))
-        .when(c >= 1e3, F.format_string("%.1f mii lei", c / 1e3)).otherwise(F.format_string("%.0f lei", c))
-    )
+    of = lambda unit, name: F.concat(_fixed(c / unit, 1), F.lit(name))
+    return F.when(c >= 1e9, of(1e9, " mld lei")).when(c >= 1e6, of(1e6, " mil lei")).when(c >= 1e3, of(1e3, " mii lei")).otherwise(F.concat(_fixed(c, 0), F.lit(" lei")))
 
 
 def last_date_in(name: Column) -> Column:

@@ -38,24 +38,35 @@ def _any(text: Column, parts: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
 
 
-def _line(raw: Column, boilerplate: tuple[str, ...]) -> Column:
-    """What the fold asks of one line: opens (a bit for each section), entry, entity (its text or null), amount in bani."""
-    line = F.btrim(raw, F.lit(" -•\t|"))
-    folded = F.lower(strip_accents(line))
-    bare, spaced = F.replace(folded, F.lit(" "), F.lit("")), F.trim(F.regexp_replace(folded, r"\s+", " "))
-    opens = sum((F.when(_any(bare, phrases), 1 << i).otherwise(0) for i, (_, phrases) in enumerate(SECTIONS)), F.lit(0))
-    form = (F.length(spaced) < SHORTEST_LINE) | _any(F.replace(spaced, F.lit(" "), F.lit("")), FORM)
-    if boilerplate:
-        form = form | spaced.isin(*boilerplate)
-    long = (F.size(F.split(spaced, " ")) > LONGEST_ENTRY) | _any(spaced, SENTENCES)
-    entity = F.rlike(line, F.lit(ENTITY)) & ~long & ~form
-    entry = (F.rlike(line, F.lit(NUMBERED)) & ~form) | entity
-    return F.struct(
-        opens.alias("opens"),
-        entry.cast("int").alias("entry"),
-        F.when(entity, F.substring(line, 1, ENTITY_WIDTH)).alias("entity"),
-        F.round(amounts_in(line) * 100).cast("long").alias("amount"),
-    )
+def _lines(text: Column, boilerplate: tuple[str, ...]) -> Column:
+    """What the fold asks of each line: opens (a bit for each section), entry, entity (its text or null), amount in bani.
+
+    In steps, each over the array of the one before, so that no line is folded twice."""
+    raw = F.split(text, "\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]")
+    lines = F.transform(F.transform(raw, lambda x: F.btrim(x, F.lit(" -•\t|"))), lambda x: F.struct(x.alias("line"), F.lower(strip_accents(x)).alias("folded")))
+    bare = lambda x: F.replace(x["folded"], F.lit(" "), F.lit(""))
+    spaced = lambda x: F.trim(F.regexp_replace(x["folded"], r"\s+", " "))
+    lines = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), bare(x).alias("bare"), spaced(x).alias("spaced")))
+
+    def kinds(x: Column) -> Column:
+        opens = sum((F.when(_any(x["bare"], phrases), 1 << i).otherwise(0) for i, (_, phrases) in enumerate(SECTIONS)), F.lit(0))
+        form = (F.length(x["spaced"]) < SHORTEST_LINE) | _any(F.replace(x["spaced"], F.lit(" "), F.lit("")), FORM)
+        if boilerplate:
+            form = form | x["spaced"].isin(*boilerplate)
+        long = (F.size(F.split(x["spaced"], " ")) > LONGEST_ENTRY) | _any(x["spaced"], SENTENCES)
+        return F.struct(x["line"].alias("line"), opens.alias("opens"), form.alias("form"), (~form & ~long & F.rlike(x["line"], F.lit(ENTITY))).alias("entity"))
+
+    def asked(x: Column) -> Column:
+        numbered = ~x["form"] & F.rlike(x["line"], F.lit(NUMBERED))
+        amount = F.when(F.rlike(x["line"], F.lit("[0-9]")), F.round(amounts_in(x["line"]) * 100).cast("long")).otherwise(F.lit(0).cast("long"))
+        return F.struct(
+            x["opens"].alias("opens"),
+            (x["entity"] | numbered).cast("int").alias("entry"),
+            F.when(x["entity"], F.substring(x["line"], 1, ENTITY_WIDTH)).alias("entity"),
+            amount.alias("amount"),
+        )
+
+    return F.transform(F.transform(lines, kinds), asked)
 
 
 def interests(text: Column, boilerplate: tuple[str, ...] = ()) -> Column:
@@ -70,7 +81,7 @@ def interests(text: Column, boilerplate: tuple[str, ...] = ()) -> Column:
     """
     given = F.coalesce(text, F.lit(""))
     n = len(SECTIONS)
-    lines = F.transform(F.split(given, "\r\n|[\n\r\x0B\f\x1C-\x1E\x85  ]"), lambda raw: _line(raw, boilerplate))
+    lines = _lines(given, boilerplate)
     zero = F.struct(
         F.lit(0).alias("seen"),
         F.lit(-1).alias("now"),

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from vitrine.plans import declarations, documents, files, graphs, money, parsing, publishing, relational, resolution, rules, scalars, spreadsheets, subgraphs, webpages  # noqa: F401
+from vitrine.plans import declarations, documents, files, graphs, money, parsing, publishing, relational, resolution, rules, scalars, spreadsheets, subgraphs, watchlists, webpages  # noqa: F401
 from vitrine.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitrine.functions.sections import ENTITY, FORM, NUMBERED, SECTIONS, SENTENCES, interests
+from vitrine.functions.wealth import declaration_kinds, wealth, wealth_ocr
 from vitrine.plans.registry import query
 
 #: Headings as a form prints them, one for each section, in another order than the sections have.
@@ -60,3 +61,34 @@ def interest_sections(t):
     """Sections, rows, amounts and entities of every document rewritten as a declaration of interests (TX-05, TX-01)."""
     read = t("documents").select("doc_id", interests(_text(), _BOILER).alias("d"))
     return read.select("doc_id", "d.text_extracted", "d.counts.*", F.col("d.amounts.actionariat").alias("shares"), F.col("d.amounts.contracte").alias("contracts_lei"), "d.entities", "d.has_any")
+
+
+def _wealth_text():
+    """A declaration of wealth with a document's text between its sections and numbers from the document's number."""
+    n = F.col("doc_id")
+    body = F.regexp_replace(F.substring(F.coalesce("text", F.lit("")), 1, 4000), r"[0-9]", "")
+    grouped = F.replace(F.format_number(n * 1001 + 1500, 0), F.lit(","), F.lit("."))
+    s = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    return s(
+        F.when(n % 5 == 0, F.lit("Declarație de avere\n")).when(n % 5 == 1, F.lit("Declaratie de interese, organele de conducere\n")).otherwise(F.lit("Act\n")), body,
+        "\nI. Bunuri imobile\n1. Terenuri\nIlfov 1.250 m², Cluj ", (n % 9).cast("string"), " mp\n2. Clădiri\nBucurești 80,5 m²\n",
+        "II. Bunuri mobile\nautoturism Dacia, ", F.when(n % 2 == 0, F.lit("Tractor U650, ")).otherwise(F.lit("")), "remorcă\nIII. Bunuri mobile\nceas 9.000 lei\n",
+        "IV. Active financiare\ncont ", grouped, " lei; depozit 200 EUR; 50 lei\nV. Datorii\ncredit ", grouped, ",50 RON\nVI. Cadouri\n500 lei\nVII. Venituri\nsalariu ", grouped, ",25 lei; ", (n % 100).cast("string"), " lei\n",
+    )
+
+
+@query("""SELECT doc_id, true AS text_extracted, false AS needs_ocr, 2 AS land, 1 AS buildings, 1330.5::DOUBLE + CASE WHEN doc_id % 9 > 5 THEN doc_id % 9 ELSE 0 END AS area,
+    doc_id * 1001 + 2510.0::DOUBLE AS accounts, doc_id * 1001 + 1500.25::DOUBLE AS income, doc_id * 1001 + 1500.5::DOUBLE AS debts, CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 2 END AS vehicles,
+    CASE WHEN doc_id % 5 = 1 THEN ['avere', 'interese'] ELSE ['avere'] END AS kinds FROM documents""")
+def wealth_declarations(t):
+    """The aggregates of every document written as a declaration of wealth, and what kinds it holds (TX-02, TX-06)."""
+    read = t("documents").select("doc_id", _wealth_text().alias("d"))
+    return read.select("doc_id", F.inline(F.array(wealth(F.col("d")))), declaration_kinds(F.col("d")).alias("kinds"))
+
+
+@query("""SELECT doc_id, true AS text_extracted, 3 AS land, doc_id * 1001 + 1500.0::DOUBLE AS accounts, doc_id * 1001 + 1500.25::DOUBLE AS income, CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 2 END AS vehicles FROM documents""")
+def wealth_recognised(t):
+    """The same from text without currencies, accents and case (TX-03)."""
+    noisy = F.regexp_replace(F.upper(F.replace(_wealth_text(), F.lit("Cluj "), F.lit("Cluj 1"))), "LEI|EUR|RON", "l3i")
+    read = t("documents").select("doc_id", wealth_ocr(noisy).alias("d"))
+    return read.select("doc_id", "d.*")
