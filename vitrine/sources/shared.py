@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession, tag: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (tests on one machine) a temporary folder stands in.
+    Only where the setting is missing on one machine (local mode, as in tests) a temporary folder stands in;
+    a cluster without it raises, as its executors would each write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.split("[")[0] == "local":
+            raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors of {master} share")
         root = "file://" + tempfile.mkdtemp(prefix="vitrine-")
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
