@@ -169,6 +169,29 @@ def atom_feed(t):
     return latest.select(sinks.atom_entry(F.col("o_orderkey").cast("string"), title, F.concat(F.lit('"'), "o_orderstatus", F.lit('"'))).alias("entry"))
 
 
+_ENTRY = """'<entry><id>' || o_orderkey || '</id><title>A &amp; B &lt;' || o_orderpriority || '&gt;</title><summary>&quot;' || o_orderstatus || '&quot;</summary></entry>'"""
+
+
+@query(f"""SELECT '<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2005/Atom"><id>urn:orders</id><title>Orders &amp; more</title><updated>2024-01-01T00:00:00Z</updated>'
+    || string_agg({_ENTRY}, '' ORDER BY o_orderkey DESC) || '</feed>' AS value FROM (SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 60)""")
+def atom_document(t):
+    """The Atom document of the latest 60, written as a file and read back (SNK-09)."""
+    orders = t("orders")
+    items = orders.select("o_orderkey", F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("A & B <"), "o_orderpriority", F.lit(">")).alias("title"), F.concat(F.lit('"'), "o_orderstatus", F.lit('"')).alias("summary"))
+    feed = sinks.atom_document(items, 60, [F.desc("o_orderkey")], "urn:orders", "Orders & more", "2024-01-01T00:00:00Z")
+    return orders.sparkSession.read.option("wholetext", "true").text(sinks.write_lines(feed, "atom")).select(F.rtrim("value", F.lit("\n")).alias("value"))
+
+
+@query("""SELECT 'https://jsonfeed.org/version/1.1' AS version, (SELECT count(*) FROM orders) AS total, row_number() OVER (ORDER BY o_orderkey DESC) AS n, o_orderkey::VARCHAR AS id, o_orderpriority AS title
+    FROM orders ORDER BY o_orderkey DESC LIMIT 60""")
+def feed_document(t):
+    """The JSON Feed of the latest 60, written as a file and read back (SNK-08)."""
+    orders = t("orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("title"))
+    feed = sinks.json_feed(orders, 60, [F.col("id").cast("long").desc()], "Orders", "https://example.org")
+    back = files.read_documents(orders.sparkSession, sinks.write_lines(feed, "feed"), "version string, total long, data array<struct<id: string, title: string>>")
+    return back.select("version", "total", F.posexplode("data").alias("n", "x")).select("version", "total", (F.col("n") + 1).cast("long").alias("n"), "x.id", "x.title")
+
+
 @query("SELECT count(*) AS rows, 2 * count(*) AS staged FROM nation")
 def staging_counts(t):
     """A staging table that is appended to twice (SNK-03)."""

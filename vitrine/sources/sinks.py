@@ -57,6 +57,23 @@ def atom_entry(identifier: Column, title: Column, summary: Column) -> Column:
     )
 
 
+def atom_document(items: DataFrame, most: int, order: list[Column], identifier: str, title: str, updated: str) -> DataFrame:
+    """One Atom 1.0 document (column ``value``, one row) of the first ``most`` of ``items`` (id, title, summary) in ``order``.
+
+    The document is one row, so ``most`` bounds it; without items it has none but is still a feed."""
+    first = items.orderBy(*order).limit(most)
+    numbered = first.select(F.struct(F.row_number().over(Window.orderBy(*order)).alias("n"), atom_entry(F.col("id"), F.col("title"), F.col("summary")).alias("e")).alias("x"))
+    body = numbered.agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["e"]), "").alias("body"))
+    head = F.lit('<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2005/Atom"><id>')
+    part = lambda text: xml_escaped(F.lit(text))
+    return body.select(F.concat(head, part(identifier), F.lit("</id><title>"), part(title), F.lit("</title><updated>"), part(updated), F.lit("</updated>"), "body", F.lit("</feed>")).alias("value"))
+
+
+def json_feed(items: DataFrame, most: int, order: list[Column], title: str, home: str) -> DataFrame:
+    """One JSON Feed 1.1 document of the first ``most`` of ``items``, whose columns are the fields of an item."""
+    return envelope(items, most, order, version="https://jsonfeed.org/version/1.1", title=title, home_page_url=home)
+
+
 def stage(df: DataFrame, path: str) -> int:
     """Append rows to a staging table and count what was appended."""
     before = _count(df.sparkSession, path, df.schema)
