@@ -39,7 +39,7 @@ def test_cut_vertices_of_two_rings(spark):
     assert cut_vertices(edges.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("seed", "nodes", "many"), [(3, 40, 38), (6, 14, 30)])
+@pytest.mark.parametrize(("seed", "nodes", "many"), [(3, 40, 38)])
 def test_cut_vertices_equal_removal_of_every_node(spark, seed, nodes, many):
     rng = random.Random(seed)
     edges = sorted({tuple(sorted(rng.sample(range(nodes), 2))) for _ in range(many)})
