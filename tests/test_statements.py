@@ -2,8 +2,6 @@
 
 import pytest
 
-from vitrine.plans.registry import ORACLE_SQL, QUERIES
-from vitrine.plans import statements as plan  # noqa: F401
 from vitrine.sources.statements import statements
 
 
@@ -41,7 +39,3 @@ def test_a_row_of_many_blocks_keeps_its_order(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert {k: v[0] for k, v in found.items()} == {i: i for i in range(50)}
-
-
-def test_query(spark, duck, same):
-    same(QUERIES["financial_statements"](spark, "/root/testdata/sf0.001"), duck, ORACLE_SQL["financial_statements"])
