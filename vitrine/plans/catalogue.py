@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from vitrine.plans import declarations, documents, edges, files, graphs, money, parsing, published, publishing, relational, resolution, rules, scalars, spreadsheets, statements, subgraphs, watchlists, webpages  # noqa: F401
+from vitrine.plans import answers, declarations, documents, edges, files, graphs, money, parsing, published, publishing, relational, resolution, rules, scalars, spreadsheets, statements, subgraphs, watchlists, webpages  # noqa: F401
 from vitrine.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401
