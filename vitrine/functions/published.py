@@ -4,6 +4,7 @@ Null papers are read as empty: no finding, empty arrays and texts."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -18,12 +19,12 @@ REPORT_KINDS = (
     ("cotizatii", ("cotiza",)), ("donatii", ("dona",)), ("imprumuturi", ("imprumut", "împrumut")), ("subventii", ("subven",)),
     ("cheltuieli", ("cheltuiel",)), ("venituri_totale", ("venituri ob", "veniturilor ob", "total venituri")),
 )
-# Where a report names its party, its year, its sums and who signs it.
+# Where a report names its party, its year, its sums and who signs it; year and sums are read in lower case.
 PARTY, PARTY_IN_HEAD = r"Denumirea partidului politic:\s*([^<\n]+)", r'S_EMT_BDY">\s*<li>([^<]+)'
-YEAR, ANY_YEAR = r"(?iuU)(?:primite|ob[țt]inut\w*|cheltuiel\w*|sumele primite)\D{0,30}anul\s+(\d{4})", r"(?U)\banul\s+(\d{4})"
+YEAR, ANY_YEAR = r"(?U)(?:primite|ob[țt]inut\w*|cheltuiel\w*|sumele primite)\D{0,30}anul\s+(\d{4})", r"(?U)\banul\s+(\d{4})"
 TABLE_TOTAL = r"[Cc]uantumul total\s*\|\s*([\d.]+,\d{2})"
-INCOME = r"(?iu)(?:total venituri|cuantumul total al veniturilor)\D{0,40}?([\d.]+,\d{2})"
-SPENDING = r"(?iu)(?:total cheltuieli|cuantumul total al cheltuielilor)\D{0,40}?([\d.]+,\d{2})"
+INCOME = r"(?:total venituri|cuantumul total al veniturilor)\D{0,40}?([\d.]+,\d{2})"
+SPENDING = r"(?:total cheltuieli|cuantumul total al cheltuielilor)\D{0,40}?([\d.]+,\d{2})"
 SIGNATORY = r"reprezentantului legal\s*\|?\s*([A-ZȘȚĂÂÎ][^|<\n]{3,60}?)\s*(?:\||<|\z)"
 # A note of publication in the gazette, its number and its date.
 PUBLISHED, NUMBER, DATED = r"MONITORUL OFICIAL nr\. \d+ din [^<]+", r"nr\.?\s*(\d+)", r"(?iu)din\s+(\d{1,2})\s+([a-zăâîșţț]+)\s+(\d{4})"
@@ -56,13 +57,18 @@ def _given(c: Column) -> Column:
 
 def _found(text: Column, pattern: str) -> Column:
     """The first group of the first match; null without one."""
-    return F.when(F.rlike(text, F.lit(pattern)), F.regexp_extract(text, pattern, 1))
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
 
 
 def _any(text: Column, parts: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def table_text(html: Column) -> Column:
     """The text of a page with " | " after each cell and a new line after each row; styles and scripts dropped."""
     plain = F.regexp_replace(_given(html), r"(?s)<style.*?</style>|<script.*?</script>", " ")
@@ -80,20 +86,34 @@ def party_report(html: Column) -> Column:
     """struct(party, code, year, kinds, income, spending, signatory, gazette, published) of a party's report.
 
     The income is the last total of the central table if the report has one, else the first sum behind the words for it."""
-    page = _given(html)
-    flat = table_text(page)
-    line = F.regexp_replace(flat, r"[ \t]+", " ")
-    low = F.lower(line)
-    party = F.trim(F.coalesce(_found(page, PARTY), _found(page, PARTY_IN_HEAD), F.lit("")))
-    totals = F.regexp_extract_all(flat, F.lit(TABLE_TOTAL), F.lit(1))
-    central = F.when(_any(low, ("situa",)) & _any(low, ("centraliz",)) & _any(low, ("venitur",)), F.get(totals, F.size(totals) - 1))
-    note = publication(F.regexp_extract(page, PUBLISHED, 0))
-    return F.struct(
-        party.alias("party"), party_code(party).alias("code"), F.coalesce(_found(line, YEAR), _found(line, ANY_YEAR)).cast("int").alias("year"),
-        F.array_compact(F.array(*[F.when(_any(low, parts), F.lit(kind)) for kind, parts in REPORT_KINDS])).alias("kinds"),
-        F.coalesce(comma_number(central), comma_number(_found(line, INCOME))).alias("income"), comma_number(_found(line, SPENDING)).alias("spending"),
-        F.trim(F.regexp_replace(_found(flat, SIGNATORY), r"\s+", " ")).alias("signatory"), note["number"].alias("gazette"), note["date"].alias("published"),
-    )
+    return _let(_given(html), lambda page: _let(table_text(page), lambda flat: _report(page, flat)))
+
+
+def _report(page: Column, flat: Column) -> Column:
+    def read(low: Column, line: Column) -> Column:
+        totals = F.regexp_extract_all(flat, F.lit(TABLE_TOTAL), F.lit(1))
+        central = F.when(_any(low, ("situa",)) & _any(low, ("centraliz",)) & _any(low, ("venitur",)), comma_number(F.get(totals, F.size(totals) - 1)))
+        return F.struct(
+            F.coalesce(_found(low, YEAR), _found(line, ANY_YEAR)).cast("int").alias("year"), F.array_compact(F.array(*[F.when(_any(low, parts), F.lit(kind)) for kind, parts in REPORT_KINDS])).alias("kinds"),
+            F.coalesce(central, comma_number(_found(low, INCOME))).alias("income"), comma_number(_found(low, SPENDING)).alias("spending"),
+        )
+
+    def party(name: Column) -> Column:
+        return F.struct(name.alias("name"), party_code(name).alias("code"))
+
+    def joined(all_: Column) -> Column:
+        who, of, note = all_["party"], all_["line"], all_["note"]
+        signatory = F.trim(F.regexp_replace(_found(flat, SIGNATORY), r"\s+", " "))
+        return F.struct(
+            who["name"].alias("party"), who["code"].alias("code"), of["year"].alias("year"), of["kinds"].alias("kinds"), of["income"].alias("income"),
+            of["spending"].alias("spending"), signatory.alias("signatory"), note["number"].alias("gazette"), note["date"].alias("published"),
+        )
+
+    named = F.trim(F.coalesce(_found(page, PARTY), _found(page, PARTY_IN_HEAD), F.lit("")))
+    parts = F.struct(
+        _let(named, party).alias("party"), _let(F.regexp_replace(flat, r"[ \t]+", " "), lambda line: _let(F.lower(line), lambda low: read(low, line))).alias("line"), _let(F.regexp_extract(page, PUBLISHED, 0), publication).alias("note")
+    )
+    return _let(parts, joined)
 
 
 def bill(html: Column) -> Column:
