@@ -36,7 +36,7 @@ def answer_companies(t):
     SELECT doc_id, year, substr(title, 1, 150) AS title FROM d WHERE year = 2010 AND (contains(strip_accents(lower(title)), 'ar')
       OR len(list_filter(words, lambda w: contains(strip_accents(lower(w)), 'ar'))) > 0) ORDER BY doc_id LIMIT 15""")
 def answer_releases(t):
-    """Releases of a year by a part of their title or of the names in them (API-18, FLT-10)."""
+    """Releases of a year by a part of their title or of the names in them (API-19, FLT-10)."""
     text = F.coalesce("text", F.lit(""))
     words = F.slice(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "), 1, 6)
     d = t("documents").select("doc_id", (F.col("doc_id") % 20 + 2005).alias("year"), F.get(F.split(text, r"[.\n]+"), F.lit(0)).alias("title"), F.transform(words, lambda w: F.struct(w.alias("name"))).alias("named"))
@@ -50,7 +50,7 @@ def answer_releases(t):
     SELECT party, coalesce(paid, 0) AS paid, coalesce(deputies, 0) AS deputies, coalesce(senators, 0) AS senators, coalesce(reports, 0) AS reports
     FROM paid FULL JOIN members USING (party) FULL JOIN reports USING (party)""")
 def answer_grants(t):
-    """What parties were paid, their members in both chambers and their reports (API-17, API-07, AG-20)."""
+    """What parties were paid, their members in both chambers and their reports (API-18, API-07, AG-20)."""
     customer = t("customer").withColumn("party", F.col("c_mktsegment"))
     spent = t("orders").where("o_totalprice > 1000").groupBy("o_custkey").agg(F.sum(money("o_totalprice")).alias("spent"))
     paid = spent.join(customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("party").agg(as_double(F.sum("spent")).alias("paid"))
@@ -72,6 +72,6 @@ def state_share(t):
 @query("""WITH c AS (SELECT p_brand AS name, count(*) AS n FROM part GROUP BY 1), f AS (SELECT * FROM c WHERE contains(lower(name), 'brand#1') ORDER BY name LIMIT 1)
     SELECT name, n AS n_members, p_partkey AS member, p_type AS role FROM f JOIN part ON p_brand = name""")
 def answer_committee(t):
-    """The members of the first committee that a text names (API-19)."""
+    """The members of the first committee that a text names (API-20)."""
     found = committee(t("part").withColumnRenamed("p_brand", "name"), "BRAND#1")
     return found.select("name", "n_members", F.col("p_partkey").alias("member"), F.col("p_type").alias("role"))
