@@ -73,3 +73,16 @@ def test_windowed_counts_drop_late_rows(spark, tmp_path):
     load([("2024-01-01 00:20:00", "a"), ("2024-01-01 05:00:00", "b")])  # the first comes after its window was closed
     rows = spark.read.parquet(f"file://{out}").collect()
     assert sorted((r["start"].hour, r["event_type"], r["n"]) for r in rows) == [(0, "a", 2), (1, "b", 1), (3, "a", 1)]
+
+
+def test_resumed_lines_of_large_files(spark):
+    """Files longer than what one task reads: every one keeps its header, and none gets another."""
+    from vitrine.plans.files import resumed_lines
+
+    part = spark.range(0, 3000, 1, 3).selectExpr("id AS p_partkey", "'a name' AS p_name", "'a brand' AS p_brand")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        assert resumed_lines(lambda name: part).first().asDict() == {"first_run": 2000, "rows": 3000, "malformed": 300, "keys": 4498500}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

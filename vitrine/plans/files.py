@@ -20,15 +20,15 @@ def separated_text(t):
     return files.well_formed(rows).join(F.broadcast(bad))  # one row
 
 
-def _separated(part, sep, mark=""):
-    """The parts as text files, each with a header line, every tenth row again with too many fields."""
+def _separated(part, sep, mark="", path=None):
+    """The parts as text files, each with a header line, every tenth row again with too many fields; added to ``path``, if given."""
     line = F.concat_ws(sep, "p_partkey", "p_name", "p_brand")
     tail = F.array(F.lit(""), F.when(F.col("p_partkey") % 10 == 0, F.lit(f"{sep}x{sep}y")))
     header = mark + sep.join(("p_partkey", "p_name", "p_brand"))
     lines = part.select(line.alias("line"), F.explode(F.array_compact(tail)).alias("tail")).select(F.concat("line", "tail").alias(header))
-    path = shared_dir(part.sparkSession, "separated")
+    path = path or shared_dir(part.sparkSession, "separated")
     # one column whose name is the header, neither quoted nor escaped
-    lines.write.options(header="true", sep="\x01", quote="", escape="", emptyValue="").csv(path)
+    lines.write.options(header="true", sep="\x01", quote="", escape="", emptyValue="").mode("append").csv(path)
     return path
 
 
@@ -40,7 +40,7 @@ def resumed_lines(t):
     source, out, checkpoint = (shared_dir(spark, f"lines-{x}") for x in ("source", "rows", "checkpoint"))
 
     def run(rows) -> None:
-        spark.read.text(_separated(rows, "|")).write.mode("append").text(source)
+        _separated(rows, "|", path=source)  # straight into the folder: read as text again, large files would be cut and small ones joined
         stream = read_lines_stream(spark, source)
         query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         query.trigger(availableNow=True).start().awaitTermination()
