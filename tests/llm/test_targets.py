@@ -86,6 +86,26 @@ def test_gains_are_copied_where_there_are_many_batches(spark, monkeypatch):
     assert sorted(repr(tuple(r)) for r in got.collect()) == plain_resampling(texts, ["w1 w2 the"])
 
 
+def test_postings_are_read_in_small_groups(spark, monkeypatch):
+    """Readers hold up to 4096 rows of a row group at once, and a row of postings is large."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(root.glob("resample-postings-*"))
+    monkeypatch.setattr(importance_resampling, "SLICE", 1 << 12)
+    monkeypatch.setattr(importance_resampling._index, "__defaults__", (1 << 12,))
+    monkeypatch.setattr(importance_resampling, "READ", 1 << 16)
+    docs = docs_of(spark, random_texts(11, 6000)).coalesce(1)
+    sent = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert importance_resampling.resample(docs, spark.createDataFrame([("a", "b")], "item_id string, text string")).count() == 6000
+    (written,) = set(root.glob("resample-postings-*")) - before
+    groups = [g for f in written.glob("*.parquet") for m in [pq.ParquetFile(f).metadata] for g in (m.row_group(i).total_byte_size for i in range(m.num_row_groups))]
+    assert len(groups) > 1 and max(groups) < 1 << 20
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) >= min(int(sent), 2000)
+
+
 def test_checksums_of_runs_and_pieces():
     texts = random_texts(5, 40) + ["y" * 70 + " " + "z" * 9000 + " q", "", "A", "ab cd"]
     for text in texts:
