@@ -174,3 +174,44 @@ def test_contracts_count_once_for_each_company(spark):
     df = spark.createDataFrame(rows, "c array<struct<cui: long, contracts: double, direct: double>>")
     got = [tuple(map(float, r["t"])) for r in df.select(company_totals(F.col("c")).alias("t")).collect()]
     assert got == [(3.0, 2.0, 10.0, 7.5), (0.0, 0.0, 0.0, 0.0)]
+
+
+def test_block_joins_are_dealt_by_their_pairs(spark, monkeypatch):
+    """A few small rows that make many pairs are not one task's work."""
+    from vitrine.operators import blocking
+
+    monkeypatch.setattr(blocking, "PAIRS", 5000)
+    rows = spark.range(2000).selectExpr("id", "id % 10 AS k")
+    joined = blocking.bounded_block_join(rows.toDF("l", "k"), rows.toDF("r", "k"), ["k"], "l", "r", 50)
+    per = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per) == 10 * 200 * 200 and len(per) > 40 and max(r["count"] for r in per) < 40_000
+
+
+def test_pairs_of_several_rules_are_made_once_and_not_shuffled(spark):
+    rows = [(1, "a", 1), (2, "a", 1), (3, "a", None), (4, None, 1), (5, None, None), (6, "b", 1)]
+    pairs = linkage.blocked_pairs(spark.createDataFrame(rows, "id int, x string, y int"), "id", [[F.col("x")], [F.col("y")], [F.col("x"), F.col("y")]])
+    assert sorted(map(tuple, pairs.collect())) == [(1, 2), (1, 3), (1, 4), (1, 6), (2, 3), (2, 4), (2, 6), (4, 6)]
+    assert not [line for line in pairs._jdf.queryExecution().optimizedPlan().toString().splitlines()[:3] if "Aggregate" in line]
+
+
+def test_names_compared_together_equal_names_compared_one_by_one(spark):
+    import random
+
+    from vitrine.functions.similarity import _winkler, _winklers, jaro_winkler, may_reach
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdă n") for _ in range(rng.randint(0, 9)))
+    pairs = [(a, b) for a, b in ((word(), word()) for _ in range(4000)) if a != b]
+    assert _winklers(*map(list, zip(*pairs, strict=True))).tolist() == [_winkler(*p) for p in pairs]
+    df = spark.createDataFrame([*pairs, ("x" * 40, "x" * 39 + "y"), ("a", None), ("", "")], "a string, b string")
+    missed = df.where((jaro_winkler("a", "b") >= 0.88) & ~may_reach(F.col("a"), F.col("b"), 0.88))
+    told = df.where(~may_reach(F.col("a"), F.col("b"), 0.88))
+    assert missed.count() == 0 and told.count() > 1000
+
+
+def test_overlaps_of_names_that_are_null(spark):
+    from vitrine.plans.resolution import name_similarities, token_overlap_pairs
+
+    part = spark.createDataFrame([(1, None, "b", "t", 1), (2, "red bolt", "b", "t", 1), (3, "red bolt", "c", "t", 1)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    assert sorted(map(tuple, token_overlap_pairs(lambda name: part).collect())) == [(1, 2, None, None), (2, 3, True, False)]
+    assert [tuple(r) for r in name_similarities(lambda name: part).collect()] == [(2, 3, 1.0)]
