@@ -97,9 +97,9 @@ def test_postings_are_read_in_small_groups(spark, monkeypatch):
     monkeypatch.setattr(importance_resampling, "SLICE", 1 << 12)
     monkeypatch.setattr(importance_resampling._index, "__defaults__", (1 << 12,))
     monkeypatch.setattr(importance_resampling, "READ", 1 << 16)
-    docs = docs_of(spark, random_texts(11, 6000)).coalesce(1)
+    docs = docs_of(spark, enumerate(random_texts(11, 6000))).coalesce(1)
     sent = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert importance_resampling.resample(docs, spark.createDataFrame([("a", "b")], "item_id string, text string")).count() == 6000
+    assert importance_resampling.resample(docs, spark.createDataFrame([(1, "b")], "item_id long, text string")).count() == 6000
     (written,) = set(root.glob("resample-postings-*")) - before
     groups = [g for f in written.glob("*.parquet") for m in [pq.ParquetFile(f).metadata] for g in (m.row_group(i).total_byte_size for i in range(m.num_row_groups))]
     assert len(groups) > 1 and max(groups) < 1 << 20
