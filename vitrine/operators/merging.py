@@ -19,9 +19,12 @@ def strict_subset(a: Column, b: Column) -> Column:
 
 def safe_pairs(pairs: DataFrame, records: DataFrame, least: float = PROBABLE) -> DataFrame:
     """Pairs (l, r, probability) of ``records`` (id, name_tokens, org_tokens) that may merge without review: probable, one name
-    strictly within the other, and a telling word of an organisation in common."""
+    strictly within the other, and a telling word of an organisation in common. Pairs that bring these columns of both records
+    as structs l_of and r_of are not joined with them."""
     side = lambda e: records.select(F.col("id").alias(e), F.struct("name_tokens", "org_tokens").alias(f"{e}_of"))
-    both = pairs.where(F.col("probability") >= least).join(side("l"), "l").join(side("r"), "r")
+    both = pairs.where(F.col("probability") >= least)
+    if not {"l_of", "r_of"} <= set(pairs.columns):
+        both = both.join(side("l"), "l").join(side("r"), "r")
     return both.where(strict_subset(F.col("l_of.name_tokens"), F.col("r_of.name_tokens")) & F.arrays_overlap("l_of.org_tokens", "r_of.org_tokens")).select("l", "r")
 
 
