@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.names import fold
 from vitrine.operators.gold import (
-    COMPANY, CONTRACT, LINK, PERSON, as_double, companies, contracts, links, money, persons,
+    COMPANY, CONTRACT, LINK, PERSON, as_double, companies, contracts, links, money, persons, spread, tasks_of,
 )
 from vitrine.plans.registry import query
 
@@ -55,10 +55,12 @@ def state_holdings(t):
     GROUP BY p.id, p.nume ORDER BY total DESC, p.id LIMIT 100""")
 def officials_contracts(t):
     """Persons at companies with contracts (JN-01, AG-04)."""
-    joined = links(t).join(companies(t).where("contracte_ron > 0").select("cui", "contracte_ron"), "cui")
-    per = joined.join(persons(t).select("id", "nume"), "id").groupBy("id", "nume").agg(
-        F.countDistinct("cui").alias("firme"), as_double(F.sum("contracte_ron")).alias("total")
-    )
+    n = tasks_of(t("lineitem"))
+    # a row for each company and for each person, so that links, which are distinct, need no distinct count
+    firms = companies(t).where("contracte_ron > 0").groupBy("cui").agg(F.sum("contracte_ron").alias("c"))
+    known = persons(t).groupBy("id", "nume").agg(F.count("*").alias("times"))
+    per = spread(spread(links(t), n, "cui").join(firms, "cui"), n, "id").groupBy("id").agg(F.count("*").alias("firme"), F.sum("c").alias("c"))
+    per = per.join(known, "id").select("id", "nume", "firme", as_double(F.col("c") * F.col("times")).alias("total"))
     return per.orderBy(F.col("total").desc(), "id").limit(100)
 
 
