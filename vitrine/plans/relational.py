@@ -10,6 +10,7 @@ from vitrine.operators.gold import (
     COMPANY, CONTRACT, LINK, PERSON, as_double, companies, contracts, links, money, persons, spread, tasks_of,
 )
 from vitrine.plans.registry import query
+from vitrine.sources.shared import write_table
 
 
 @query(f"""WITH {COMPANY} SELECT sector, count(*) AS companies, CAST(sum(contracte_ron) AS DOUBLE) AS contracts,
@@ -306,9 +307,13 @@ def party_year_map(t):
     FROM link l JOIN firm ON l.cui = supplier GROUP BY l.id""")
 def person_rollup(t):
     """Totals per person: contracts once per company, direct purchases as they come (AG-22, AG-23)."""
-    firms = contracts(t).groupBy(F.col("supplier").alias("cui")).agg(F.sum("amount").alias("total"))
-    direct = contracts(t).groupBy(F.col("authority").alias("id")).agg(F.sum("amount").alias("d"))
-    per = links(t).join(firms, "cui").groupBy("id").agg(F.countDistinct("cui").alias("firme"), F.sum("total").alias("c"))
+    n = tasks_of(t("lineitem"))
+    rows = contracts(t).select(F.col("authority").alias("id"), F.col("supplier").alias("cui"), "amount")
+    pairs = write_table(spread(rows, n, "id").groupBy("id", "cui").agg(F.sum("amount").alias("d")), "person-firms")
+    firms = pairs.groupBy("cui").agg(F.sum("d").alias("total"))
+    direct = pairs.groupBy("id").agg(F.sum("d").alias("d"))
+    met = spread(pairs.select("id", "cui"), n, "cui").join(firms, "cui")
+    per = spread(met, n, "id").groupBy("id").agg(F.count("*").alias("firme"), F.sum("total").alias("c"))
     return per.join(direct, "id", "left").select("id", "firme", as_double(F.col("c")).alias("contracte"), as_double(F.col("d")).alias("directe"))
 
 
