@@ -20,3 +20,11 @@ def test_links_are_dealt_by_rows(spark, monkeypatch):
     monkeypatch.setattr(gold, "TASK_ROWS", 300)
     t = lambda name: table(spark, SMALL, name)
     assert gold.links(t).rdd.getNumPartitions() == t("lineitem").count() // 300 + 1
+
+
+def test_network_joins_its_links_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(graphs, "tied", lambda t: calls.append(1) or gold.tied(t))
+    found = catalogue.QUERIES["k_hop_network"](spark, SMALL)
+    assert found.count() and len(calls) == 1
+    assert not any(f"/{name}.parquet" in file for file in found.inputFiles() for name in ("lineitem", "orders"))
