@@ -28,3 +28,15 @@ def test_network_joins_its_links_once(spark, monkeypatch):
     found = catalogue.QUERIES["k_hop_network"](spark, SMALL)
     assert found.count() and len(calls) == 1
     assert not any(f"/{name}.parquet" in file for file in found.inputFiles() for name in ("lineitem", "orders"))
+
+
+def test_subgraph_makes_given_edges_distinct_once(spark, monkeypatch):
+    from vitrine.operators import subgraph
+
+    tags = []
+    monkeypatch.setattr(subgraph, "write_table", lambda df, tag, f=subgraph.write_table: tags.append(tag) or f(df, tag))
+    edges = spark.createDataFrame([(1, 1), (1, 1), (2, 1)], "person long, company long")
+    seeds, none = spark.createDataFrame([(1,)], "person long"), spark.createDataFrame([], "company long")
+    nodes, _ = subgraph.bounded_subgraph(edges, seeds, none, none, 10)
+    assert sorted((r["id"], r["degree"]) for r in nodes.collect()) == [(1, 1), (1, 2), (2, 1)]
+    assert tags.count("subgraph-given") == 1

@@ -34,16 +34,19 @@ def expand(edges: DataFrame, persons: DataFrame, companies: DataFrame, rich: Dat
 
 
 def bounded_subgraph(
-    edges: DataFrame, persons: DataFrame, companies: DataFrame, rich: DataFrame, cap: int, least: int = 2
+    edges: DataFrame, persons: DataFrame, companies: DataFrame, rich: DataFrame, cap: int, least: int = 2, unique: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """The expansion of the seeds, at most ``cap`` nodes of it: nodes (node, kind, id, hop, degree, cluster), edges (a, b).
 
+    ``unique`` says that ``edges`` is a written table without repeated rows.
+
     Nodes are 2 * person and 2 * company + 1. Nodes without a kept edge go. Whole components are taken, largest first,
     until the next does not fit (only the first cap / 2 can matter, as none has fewer than two nodes); if the largest
     alone is above the cap, its ``cap`` nodes of highest degree stay. Clusters are the components of what is
     left, numbered from 0 by size, then by smallest node.
     """
-    edges = edges.select("person", "company").distinct()
+    if not unique:  # once, not for every join
+        edges = write_table(edges.select("person", "company").distinct(), "subgraph-given")
     kept, firms = expand(edges, persons, companies, rich, least)
     inside = edges.join(kept, "person", "left_semi").join(firms, "company", "left_semi")
     inside = write_table(inside.select((F.col("person") * 2).alias("a"), (F.col("company") * 2 + 1).alias("b")), "subgraph")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitrine.operators.gold import money
+from vitrine.operators.gold import money, spread, tasks_of
 from vitrine.operators.subgraph import bounded_subgraph as bounded
 from vitrine.operators.subgraph import expand
 from vitrine.plans.registry import query
@@ -29,10 +29,14 @@ _GRAPH = f"""edge AS (SELECT DISTINCT o_custkey AS person, l_partkey AS company
 
 
 def _graph(t):
-    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    edges = write_table(lines.select(F.col("o_custkey").alias("person"), F.col("l_partkey").alias("company")).distinct(), "view-edges")
+    n = tasks_of(t("lineitem"))
+    orders = spread(t("orders"), n, "o_orderkey")
+    lines = spread(t("lineitem").select("l_orderkey", "l_partkey"), n, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    edges = spread(lines.select(F.col("o_custkey").alias("person"), F.col("l_partkey").alias("company")), n, "person").distinct()
+    edges = write_table(edges, "view-edges")
     rich = t("lineitem").where("l_returnflag = 'R' AND l_linestatus = 'F' AND l_quantity = 50").select(F.col("l_partkey").alias("company")).distinct()
-    total = lines.groupBy(F.col("o_custkey").alias("person")).agg(F.sum(money("l_extendedprice")).alias("total"))
+    paid = t("lineitem").groupBy("l_orderkey").agg(F.sum(money("l_extendedprice")).alias("paid"))  # most lines of an order lie together
+    total = paid.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("o_custkey").alias("person")).agg(F.sum("paid").alias("total"))
     richest = total.orderBy(F.col("total").desc(), "person").limit(RICHEST).select("person")
     chosen = t("customer").where("c_mktsegment = 'BUILDING' AND c_acctbal < 0").select(F.col("c_custkey").alias("person"))
     hubs = edges.groupBy("company").agg(F.count("*").alias("n")).where("n >= 2").join(rich.withColumn("r", F.lit(2)), "company", "left")
@@ -67,4 +71,4 @@ def neighbour_expansion(t):
     LEFT JOIN person_kept p ON node = p.person * 2 LEFT JOIN company_kept c ON node = c.company * 2 + 1""")
 def bounded_subgraph(t):
     """The bounded view: expansion, isolated nodes gone, whole components by size up to the cap (GR-09, TK-11)."""
-    return bounded(*_graph(t), CAP)[0]
+    return bounded(*_graph(t), CAP, unique=True)[0]
