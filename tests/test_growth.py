@@ -40,3 +40,15 @@ def test_subgraph_makes_given_edges_distinct_once(spark, monkeypatch):
     nodes, _ = subgraph.bounded_subgraph(edges, seeds, none, none, 10)
     assert sorted((r["id"], r["degree"]) for r in nodes.collect()) == [(1, 1), (1, 2), (2, 1)]
     assert tags.count("subgraph-given") == 1
+
+
+def test_numbers_are_read_without_patterns(spark, capsys):
+    odd = ["1.234,56", "1,234.56", "1.234.567", " 1 234,5", "1,2,3", ".", "-", "", "12,345", "1.2,3.4", "-1.234,5", None]
+    df = spark.createDataFrame([(x,) for x in odd], "s string")
+    got = [tuple(r) for r in df.select(*[numbers.parse_number(F.col("s"), how) for how in ("decimal", "thousands", "groups")]).collect()]
+    assert got == [
+        (1234.56,) * 3, (1234.56,) * 3, (None, 1234567.0, 1234567.0), (1234.5,) * 3, (None,) * 3, (None,) * 3, (None,) * 3, (None,) * 3, (12345.0,) * 3,
+        (None,) * 3, (-1234.5,) * 3, (None,) * 3,
+    ]
+    df.select(numbers.parse_number(F.col("s"), "thousands")).explain()
+    assert "regexp" not in capsys.readouterr().out.lower()

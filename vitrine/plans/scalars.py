@@ -55,7 +55,7 @@ def _shown(sep_thousand, sep_decimal):
     """An amount of the line items as text with the given separators."""
     whole = F.format_number(F.floor("l_extendedprice"), 0)
     cents = F.lpad((F.round(F.col("l_extendedprice") * 100).cast("long") % 100).cast("string"), 2, "0")
-    return F.concat(F.regexp_replace(whole, ",", sep_thousand), F.lit(sep_decimal), cents)
+    return F.concat(F.replace(whole, F.lit(","), F.lit(sep_thousand)), F.lit(sep_decimal), cents)
 
 
 _RO = "replace(format('{:,}', CAST(floor(l_extendedprice) AS BIGINT)), ',', '.') || ',' || lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0')"
@@ -67,7 +67,7 @@ _RO = "replace(format('{:,}', CAST(floor(l_extendedprice) AS BIGINT)), ',', '.')
 def parse_ro_number(t):
     """Amounts written the local way, read by three presets (NM-01, NM-03, NM-05)."""
     s = F.col("s")
-    whole = F.split(s, ",").getItem(0)  # 1.234 means 1234 in the budgets
+    whole = F.substring_index(s, ",", 1)  # 1.234 means 1234 in the budgets
     rows = t("lineitem").select("l_orderkey", "l_linenumber", _shown(".", ",").alias("s"))
     return rows.select(
         "l_orderkey",
