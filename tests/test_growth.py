@@ -52,3 +52,11 @@ def test_numbers_are_read_without_patterns(spark, capsys):
     ]
     df.select(numbers.parse_number(F.col("s"), "thousands")).explain()
     assert "regexp" not in capsys.readouterr().out.lower()
+
+
+def test_citations_are_read_in_one_pass(spark, capsys):
+    df = spark.createDataFrame([("legea 1/2010 LEGE  nr 1 / 2010, H.G.2/2004 hotărârea 3/2004",), (None,)], "t string")
+    found = df.select(text.law_references(F.col("t")).alias("laws"))
+    assert [r["laws"] for r in found.collect()] == [["lege/1/2010", "hg/2/2004", "hg/3/2004"], None]
+    found.explain()
+    assert capsys.readouterr().out.count("regexp_extract_all(t#") == 1
