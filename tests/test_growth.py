@@ -60,3 +60,16 @@ def test_citations_are_read_in_one_pass(spark, capsys):
     assert [r["laws"] for r in found.collect()] == [["lege/1/2010", "hg/2/2004", "hg/3/2004"], None]
     found.explain()
     assert capsys.readouterr().out.count("regexp_extract_all(t#") == 1
+
+
+def test_lines_of_curricula_are_told_by_their_first_letter(spark, capsys):
+    from vitrine.functions.published import curriculum
+
+    words = ["STUDII", "Educații", "FORMARE", "absolvent", "Facultate", "UNIVERSITATE", "licență", "Master", "DOCTOR", "colegiu", "LICEU", "Diplomă", "specializare", "ACADEMIE"]
+    work = ["Experiență", "ACTIVITATE PROFESIONALĂ", "funct", "Angajator", "PERIOADA", "director", "Manager", "ȘEF x", "sef y", "CONSILIER", "inginer", "Economist", "2001 - 2005", "2001–PREZENT"]
+    df = spark.createDataFrame([("\n".join([*words, "xyz", *work, "qwt" * 20]),)], "t string").select(curriculum(F.col("t")).alias("c"))
+    found = df.first()["c"]
+    assert set(words) <= set(found["education"].split(" | ")) and found["experience"].split(" | ")[-len(work) :] == work
+    assert "xyz" not in found["education"] + found["experience"]
+    df.explain()
+    assert "(?iu)(?=[" in capsys.readouterr().out

@@ -48,6 +48,8 @@ EXPERIENCE = (
     r"(?iu)(experien[țt]|activitate profesional|funct|angajator|perioad|director|manager|[șs]ef |consilier|inginer|economist|\d{4}\s*[-–]\s*\d{4}|\d{4}\s*[-–]\s*prezent)",
     r"(?iu)(\d{4}\s*[-–]\s*(?:\d{4}|prezent)|perioad[ăa]\s*:?\s*\d|func[țt]ia\s*:?\s*[A-ZȘȚĂÂÎ]|director (?:general|executiv|adjunct))",
 )
+# What the words of the first of each pair begin with, looked at before the words are tried.
+_FIRST = ("sefaulmdc", r"eafpdmsșci\d")
 SHORTEST, LONGEST_LINE, LONGEST_LINE_OF_PAGE, SHORTEST_LINE_OF_PAGE, LONGEST = 120, 200, 220, 15, (1400, 1600)
 
 
@@ -161,7 +163,8 @@ def curriculum(text: Column) -> Column:
     given = _given(text)
     lines = F.filter(F.transform(F.split(given, r"\R"), lambda x: F.trim(x)), lambda x: x != "")
     read = F.length(given) >= SHORTEST
-    parts = (_lines(lines, p[0], LONGEST_LINE, most) for p, most in zip((EDUCATION, EXPERIENCE), LONGEST))
+    asked = (p[0].replace("(?iu)", f"(?iu)(?=[{first}])", 1) for p, first in zip((EDUCATION, EXPERIENCE), _FIRST))
+    parts = (_lines(lines, p, LONGEST_LINE, most) for p, most in zip(asked, LONGEST))
     education, experience = (F.when(read, p).otherwise("") for p in parts)
     return F.struct(F.when(read, "ok").otherwise("scanned").alias("status"), education.alias("education"), experience.alias("experience"))
 
