@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from vitrine.operators.biconnected import biconnected, cut_vertices
+from vitrine.operators.biconnected import biconnected, cut_members, cut_vertices
 from vitrine.operators.subgraph import bounded_subgraph, expand
 
 
@@ -84,6 +84,40 @@ def test_cut_vertices_of_a_whole_table_equal_a_depth_first_search(spark):
     assert {r["node"] for r in cut_vertices(edges).collect()} == cuts
 
 
+@pytest.mark.parametrize(("seed", "many"), [(5, 45), (6, 90)])
+def test_cut_members_equal_removal_in_the_graph_with_groups(spark, seed, many):
+    rng = random.Random(seed)
+    pairs = sorted({(rng.randrange(30), rng.randrange(28)) for _ in range(many)})
+    edges = [(2 * m, 2 * g + 1) for m, g in pairs]
+    nodes = {n for e in edges for n in e}
+    ring, want = groups(edges, nodes), {}
+    for m in {m for m, _ in pairs}:
+        rest = groups([e for e in edges if e[0] != 2 * m], nodes - {2 * m})
+        parts = {rest[n] for n in nodes - {2 * m} if ring[n] == ring[2 * m]}
+        if len(parts) > 1:
+            want[m] = (len(parts), sum(p == m for p, _ in pairs))
+    given = spark.createDataFrame([*pairs, *pairs[:9], (None, 1), (3, None)], "member long, group long")
+    assert {r["member"]: (r["blocks"], r["degree"]) for r in cut_members(given).collect()} == want
+    assert cut_members(given.limit(0)).count() == 0
+
+
+def test_arcs_stay_in_their_buckets(spark, monkeypatch):
+    from vitrine.operators import biconnected as module
+
+    sent = []
+    write = module.write_table
+
+    def seen(df, tag):
+        if tag == "forest-level":
+            sent.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, tag)
+
+    monkeypatch.setattr(module, "write_table", seen)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(6)], "a long, b long")
+    assert cut_vertices(edges).count() == 5
+    assert sum("Bucketed: true" in plan for plan in sent) >= 6
+
+
 EDGES = [(1, 1), (2, 1), (2, 2), (3, 2), (3, 3), (4, 3), (4, 4), (5, 4), (6, 5), (7, 6), (7, 7), (8, 7), (9, 8), (9, 9), (3, 6)]
 
 
