@@ -6,14 +6,19 @@ import os
 import re
 import unicodedata
 from array import array
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Characters on which white space, letters and lower-casing need no context, so that a text cut
 #: at white space gives the same ids chunk by chunk. Any other text goes to the tokenizer whole.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-¬®-įı-ɏ‐-‧€]*\Z")
 #: A byte-level vocabulary keeps white space: a word takes the one blank before it.
 _BYTE_CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: White space beside white space, and white space other than blanks and line feeds, of plain texts.
+_RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r")
 _LATIN = [chr(c) for c in range(0x250)]
 _L = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "L")
 _N = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "N")
@@ -24,10 +29,19 @@ _BYTE_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_
 _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _BLANK = chr(_BYTE_LETTERS[0x20])
+#: The letters of plain texts as such vocabularies write their bytes.
+_LETTERS = {c: c.encode().decode("latin-1").translate(_BYTE_LETTERS) for c in _L}
+#: Signs that often end a word, each a piece by itself there.
+_STOPS = tuple(",.;:!?")
 #: Distinct chunks that one worker remembers by default; later ones are encoded anew each time.
 CACHE_ENTRIES = 1_000_000
 
 
+def _shown(word: str) -> str:
+    """A word of letters and the blank before it."""
+    return _BLANK + (word if word.isascii() else "".join(map(_LETTERS.__getitem__, word)))
+
+
 class CachedEncoder:
     """Ids of whole texts as little-endian unsigned 16-bit bytes (vocabularies below 65,536).
 
@@ -46,6 +60,7 @@ class CachedEncoder:
         self.drops_space, self.remember = drops_space, remember
         self.pieces = (_WORD_PIECE if drops_space else _BYTE_PIECE).findall
         self.cache: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
@@ -60,8 +75,56 @@ class CachedEncoder:
             ids += [t.id for t in self.tokenizer.model.tokenize(mapped)]
         return array("H", ids).tobytes()
 
+    def _one(self, piece: str) -> bytes:
+        """Ids of one piece of the vocabulary's own cut, blanks as the vocabulary writes them."""
+        return array("H", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of words as ``_by_words`` marks them."""
+        found = list(map(self.words.get, words))
+        fresh: dict[str, bytes] = {}
+        for i, ids in enumerate(found):
+            if ids is not None:
+                continue
+            word = words[i]
+            if word.isalpha():
+                ids = self._one(_shown(word))
+            elif word[-1:] in _STOPS and word[:-1].isalpha():  # letters are one piece, and so is what follows them
+                before = word[:-1]
+                start = self.words.get(before) or fresh.get(before)
+                if start is None:
+                    start = fresh[before] = self._one(_shown(before))
+                ids = start + self._one(word[-1])
+            else:
+                ids = self._learn(word[1:] if word[:1] == "\0" else word if word[:1] == "\n" else " " + word)
+            found[i] = fresh[word] = ids
+        room = self.remember - len(self.cache) - len(self.words)
+        self.words.update(fresh if len(fresh) <= room else islice(fresh.items(), max(room, 0)))
+        return found
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts without two white spaces in a row, by a vocabulary that keeps white space.
+
+        A word takes the blank or line feed before it (the first of a text takes none), and Arrow numbers the words, so that each
+        distinct one of ``texts`` is looked up once."""
+        marked = pa.array(["\0" + t.replace("\n", " \n") for t in texts], pa.large_string())
+        words = pc.split_pattern(marked, " ")
+        coded = words.values.dictionary_encode()
+        ids = pa.array(self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[words.offsets.to_numpy()]
+        body = memoryview(ids.buffers()[2] or b"")
+        return [bytes(body[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
+        if self.drops_space:
+            return self._by_chunks(texts)
+        easy = [bool(_PLAIN.match(t)) and not any(r in t for r in (*_RUNS, *self.added)) for t in texts]
+        one = iter(self._by_words([t for t, e in zip(texts, easy, strict=True) if e]) if any(easy) else ())
+        rest = iter(self._by_chunks([t for t, e in zip(texts, easy, strict=True) if not e]))
+        return [next(one if e else rest) for e in easy]
+
+    def _by_chunks(self, texts: list[str]) -> list[bytes]:
         cut = str.split if self.drops_space else _BYTE_CHUNK.findall
         pieces: list[list[str] | None] = []
         missing: set[str] = set()

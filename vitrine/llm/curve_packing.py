@@ -20,6 +20,8 @@ SEQUENCE, END_ID = 1024, 0
 DIMENSIONS, CURVE_BITS, FEATURE_BITS = 3, 10, 14
 #: Low bits of a key that do not count for the cells in which the curve is weighed (2 ** 18 cells).
 CELL_SHIFT = 12
+#: Bytes of texts that are encoded together (a longer text alone).
+ENCODED_BYTES = 4 << 20
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -144,8 +146,9 @@ def pack_documents(
         code = encoder(tokenizer, drops_space, remember)
         sequence, filled = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
+            _, offsets = binary_views(batch.column(1))
+            for i, j in slices(offsets, ENCODED_BYTES):
+                part = batch.slice(i, j - i)
                 texts = [t.decode("utf-8", "replace") for t in part.column(1).to_pylist()]
                 rows: list[tuple] = []
                 for doc_id, got in zip(part.column(0).to_pylist(), code.encode(texts), strict=True):
