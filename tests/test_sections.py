@@ -1,5 +1,7 @@
 """Declarations of interests line by line."""
 
+from pyspark.sql import functions as F
+
 from vitrine.functions.sections import interests
 
 TEXT = """Subsemnata, declar pe propria răspundere:
@@ -46,3 +48,18 @@ def test_short_and_missing_texts(spark):
 def test_one_line_that_opens_two_sections(spark):
     text = "organele de conducere ale partidelor politice\nPartidul X\n" + "fara sens " * 10
     assert read(spark, text)["counts"] == {"actionariat": 0, "conducere": 0, "prof_sindicat": 0, "partid": 1, "contracte": 0}
+
+
+def test_the_text_is_worked_out_once(spark):
+    df = spark.range(3).coalesce(1).selectExpr("concat('1. Asociat sau acționar\n1.1 SC Alfa SRL ', repeat('x', 80), id) AS text")
+    text = df.select(interests(F.reverse(F.reverse("text"))).alias("d"))
+    plan = text._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reverse(reverse(") == 1
+    assert all(r["d"]["counts"]["actionariat"] == 1 for r in text.collect())
+
+
+def test_blanks_tabs_and_twelve_words(spark):
+    head = "asociat sau acționar la societăți\n" + "x" * 80 + "\n"
+    twelve = "SC Alfa SRL" + " a" * 9
+    found = [read(spark, head + x)["counts"]["actionariat"] for x in (twelve, twelve + " b", twelve.replace(" a", " \t  a"), twelve.replace(" a", " \t  a") + "\tb", "un\t itatea SC Alfa SRL", "SRL")]
+    assert found == [1, 0, 1, 0, 0, 0]

@@ -45,16 +45,24 @@ def _lines(text: Column, boilerplate: tuple[str, ...]) -> Column:
     raw = F.split(text, "\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]")
     lines = F.transform(F.transform(raw, lambda x: F.btrim(x, F.lit(" -•\t|"))), lambda x: F.struct(x.alias("line"), F.lower(strip_accents(x)).alias("folded")))
     bare = lambda x: F.replace(x["folded"], F.lit(" "), F.lit(""))
-    spaced = lambda x: F.trim(F.regexp_replace(x["folded"], r"\s+", " "))
+    # of what the pattern takes for white space, a line holds blanks and tabs only
+    odd = lambda x: F.contains(x["folded"], F.lit("  ")) | F.contains(x["folded"], F.lit("\t"))
+    spaced = lambda x: F.trim(F.when(odd(x), F.regexp_replace(x["folded"], r"\s+", " ")).otherwise(x["folded"]))
     lines = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), bare(x).alias("bare"), spaced(x).alias("spaced")))
+    tight = lambda x: F.replace(x["spaced"], F.lit(" "), F.lit(""))
+    lines = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), x["bare"].alias("bare"), x["spaced"].alias("spaced"), tight(x).alias("tight")))
 
     def kinds(x: Column) -> Column:
         opens = sum((F.when(_any(x["bare"], phrases), 1 << i).otherwise(0) for i, (_, phrases) in enumerate(SECTIONS)), F.lit(0))
-        form = (F.length(x["spaced"]) < SHORTEST_LINE) | _any(F.replace(x["spaced"], F.lit(" "), F.lit("")), FORM)
+        form = (F.length(x["spaced"]) < SHORTEST_LINE) | _any(x["tight"], FORM)
         if boilerplate:
             form = form | x["spaced"].isin(*boilerplate)
-        long = (F.size(F.split(x["spaced"], " ")) > LONGEST_ENTRY) | _any(x["spaced"], SENTENCES)
-        return F.struct(x["line"].alias("line"), opens.alias("opens"), form.alias("form"), (~form & ~long & F.rlike(x["line"], F.lit(ENTITY))).alias("entity"))
+        short = F.octet_length(x["spaced"]) - F.octet_length(x["tight"]) < LONGEST_ENTRY  # single blanks, one fewer than words
+        return F.struct(x["line"].alias("line"), opens.alias("opens"), form.alias("form"), (short & ~_any(x["spaced"], SENTENCES)).alias("short"))
+
+    def named(x: Column) -> Column:
+        entity = x["short"] & ~x["form"] & F.rlike(x["line"], F.lit(ENTITY))
+        return F.struct(x["line"].alias("line"), x["opens"].alias("opens"), x["form"].alias("form"), entity.alias("entity"))
 
     def asked(x: Column) -> Column:
         numbered = ~x["form"] & F.rlike(x["line"], F.lit(NUMBERED))
@@ -66,7 +74,7 @@ def _lines(text: Column, boilerplate: tuple[str, ...]) -> Column:
             amount.alias("amount"),
         )
 
-    return F.transform(F.transform(lines, kinds), asked)
+    return F.transform(F.transform(F.transform(lines, kinds), named), asked)
 
 
 def interests(text: Column, boilerplate: tuple[str, ...] = ()) -> Column:
@@ -79,9 +87,15 @@ def interests(text: Column, boilerplate: tuple[str, ...] = ()) -> Column:
     each, and the first 60 entities, which are returned distinct and sorted. Null and texts below 80 characters are not
     extracted; a sum is of its lines, so an amount broken over two lines is not read.
     """
-    given = F.coalesce(text, F.lit(""))
+    # bound as the one element of an array, because a fold works out again whatever it names from outside
+    given = F.transform(F.array(F.coalesce(text, F.lit(""))), lambda x: F.struct(x.alias("text"), (F.length(F.trim(x)) >= SHORTEST_TEXT).alias("enough")))
+    return F.transform(given, lambda x: _folded(x["text"], x["enough"], boilerplate))[0]
+
+
+def _folded(text: Column, enough: Column, boilerplate: tuple[str, ...]) -> Column:
+    """``interests`` of a text that is no null; ``enough`` says whether it is long enough."""
     n = len(SECTIONS)
-    lines = _lines(given, boilerplate)
+    lines = _lines(text, boilerplate)
     zero = F.struct(
         F.lit(0).alias("seen"),
         F.lit(-1).alias("now"),
@@ -105,7 +119,6 @@ def interests(text: Column, boilerplate: tuple[str, ...] = ()) -> Column:
         )
 
     def finish(state: Column) -> Column:
-        enough = F.length(F.trim(given)) >= SHORTEST_TEXT
         counts = F.when(enough, state["counts"]).otherwise(F.array_repeat(F.lit(0), n))
         amounts = F.when(enough, state["amounts"]).otherwise(F.array_repeat(F.lit(0).cast("long"), n))
         return F.struct(
