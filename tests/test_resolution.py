@@ -215,3 +215,12 @@ def test_overlaps_of_names_that_are_null(spark):
     part = spark.createDataFrame([(1, None, "b", "t", 1), (2, "red bolt", "b", "t", 1), (3, "red bolt", "c", "t", 1)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
     assert sorted(map(tuple, token_overlap_pairs(lambda name: part).collect())) == [(1, 2, None, None), (2, 3, True, False)]
     assert [tuple(r) for r in name_similarities(lambda name: part).collect()] == [(2, 3, 1.0)]
+
+
+def test_names_that_share_a_prefix_are_candidates(spark):
+    """Every pair that shares the first four letters of a token, once, beside the pairs of the rules."""
+    from vitrine.plans.resolution import blocking_candidates
+
+    rows = [(1, "Ionescu Maria", "a"), (2, "dr Ionesco Marian", "b"), (3, "pop maria", "c"), (4, None, "d"), (5, "dr x1", "e"), (6, "Țepeș dr", "f"), (7, "tepesanu", "g"), (8, None, "d")]
+    part = spark.createDataFrame([(i, name, brand, "t", 1) for i, name, brand in rows], "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    assert sorted(map(tuple, blocking_candidates(lambda name: part).collect())) == [(1, 2), (1, 3), (2, 3), (4, 8), (6, 7)]
