@@ -224,3 +224,54 @@ def test_names_that_share_a_prefix_are_candidates(spark):
     rows = [(1, "Ionescu Maria", "a"), (2, "dr Ionesco Marian", "b"), (3, "pop maria", "c"), (4, None, "d"), (5, "dr x1", "e"), (6, "Țepeș dr", "f"), (7, "tepesanu", "g"), (8, None, "d")]
     part = spark.createDataFrame([(i, name, brand, "t", 1) for i, name, brand in rows], "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
     assert sorted(map(tuple, blocking_candidates(lambda name: part).collect())) == [(1, 2), (1, 3), (2, 3), (4, 8), (6, 7)]
+
+
+def test_near_and_far_pairs_have_the_same_levels(spark):
+    """Pairs told by letters alone have the levels of pairs that are compared, and none that can reach the least is left out."""
+    from conftest import SMALL
+    from vitrine.plans import resolution
+    from vitrine.sources.tables import table
+
+    _, pairs = resolution._blocks(resolution._records(lambda name: table(spark, SMALL, name)).where("id < 400"))
+    names = resolution._names()
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    whole = linkage.levels_of(pairs, resolution._compared_with(), None, names["costly"], names["settled"])
+    parts = linkage.levels_of(pairs, resolution._compared_with(), **names)
+    assert rows(whole) == rows(parts) and {r["name"] for r in whole.collect()} >= {0, 3, 5}
+    levels = list(resolution._LEVELS)
+    for least in (0.5, 0.9):
+        some = linkage.levels_of(pairs, resolution._compared_with(), **names, worth=resolution._worth(resolution._MODEL, least))
+        want = linkage.score(whole, resolution._MODEL, levels).where(F.col("probability") >= least)
+        assert rows(linkage.score(some, resolution._MODEL, levels, least=least)) == rows(want)
+
+
+def test_sketches_lose_no_names(spark):
+    from vitrine.functions.similarity import may_reach_by, sketch
+
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdțé n") for _ in range(rng.randint(0, 9)))
+    pairs = [(a, b, _winkler(a, b)) for a, b in [(word(), word()) for _ in range(3000)] + [("a" * 30, "a" * 29), ("aaaaab", "aaaaac")]]
+    df = spark.createDataFrame(pairs, "a string, b string, jw double")
+    told = df.select("jw", *[F.coalesce(may_reach_by(sketch("a"), sketch("b"), t), F.lit(True)).alias(f"t{i}") for i, t in enumerate((0.88, 0.92))]).collect()
+    assert not [r for r in told if (r["jw"] >= 0.88 and not r["t0"]) or (r["jw"] >= 0.92 and not r["t1"])]
+    assert sum(not r["t0"] for r in told) > 1500
+
+
+def test_code_of_a_pair_is_short_enough_to_be_compiled(spark):
+    """Java compiles no method beyond 8000 bytes."""
+    import re
+
+    from conftest import SMALL
+    from vitrine.plans import resolution
+    from vitrine.sources.tables import table
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = resolution.linkage_scores(lambda name: table(spark, SMALL, name))._jdf.queryExecution()
+        code = plan.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert len(sizes) > 10 and max(sizes) < 8000
